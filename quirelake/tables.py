@@ -41,3 +41,35 @@ def latest_result(df: DataFrame, key: str, when: str, result: str) -> DataFrame:
 def text_key(column: str) -> Column:
     """A key of any type as a string."""
     return F.col(column).cast("string")
+
+
+#: Repeated keys up to this many rows may be broadcast; beyond it the same plan runs as a shuffled join.
+BROADCAST_KEYS = 200_000
+
+
+def latest_rows(df: DataFrame, key: str, when: str) -> DataFrame:
+    """``df`` with one row for each key, without moving the rows whose key occurs once.
+
+    The repeated keys are found on the key column alone and written to the shared folder. Only their rows are shuffled:
+    the one with the latest ``when`` stays, ties going to the greatest values. Rows with a null key are all kept.
+    The repeated keys are broadcast only when they are at most ``BROADCAST_KEYS``.
+    """
+    from quirelake.session import materialised
+
+    repeated = materialised(df.select(key).filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key), "repeated")
+    n = repeated.count()
+    if n == 0:
+        return df
+    keys = F.broadcast(repeated) if n <= BROADCAST_KEYS else repeated
+    rest = [c for c in df.columns if c not in (key, when)]
+    once = df.join(keys, key, "left_anti").select(df.columns)
+    again = latest(df.join(keys, key, "left_semi"), key, when, when, *rest) if not _unordered(df) else _by_time(df.join(keys, key, "left_semi"), key, when)
+    return once.unionByName(again.select(df.columns))
+
+
+def _unordered(df: DataFrame) -> bool:
+    return any("map<" in kind or "variant" in kind for _, kind in df.dtypes)
+
+
+def _by_time(df: DataFrame, key: str, when: str) -> DataFrame:
+    return df.groupBy(key).agg(F.max_by(F.struct(*df.columns), F.coalesce(F.col(when), F.lit("0001-01-01").cast(dict(df.dtypes)[when]))).alias("_m")).select("_m.*")
