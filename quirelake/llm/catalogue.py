@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelake.llm import leaks, pieces, tokens
+from quirelake.llm import leaks, pieces, similar, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": pieces.p1_found,
         "p1_pieces": pieces.p1_pieces,
+        "p4_found": similar.p4_found,
+        "p4_groups": similar.p4_groups,
         "p9_found": leaks.p9_found,
         "p9_leaks": leaks.p9_leaks,
         "p8_ids": tokens.p8_ids,
