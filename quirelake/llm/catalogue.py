@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelake.llm import leaks, pieces, sentences, similar, tokens
+from quirelake.llm import leaks, mail, pieces, sentences, similar, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_pieces": pieces.p1_pieces,
         "p4_found": similar.p4_found,
         "p4_groups": similar.p4_groups,
+        "p7_found": mail.p7_found,
         "p10_found": sentences.p10_found,
         "p9_found": leaks.p9_found,
         "p9_leaks": leaks.p9_leaks,
