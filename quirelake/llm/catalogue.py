@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelake.llm import garbled, leaks, mail, pieces, sentences, similar, tokens
+from quirelake.llm import garbled, leaks, mail, personal, pieces, sentences, similar, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_pieces": pieces.p1_pieces,
         "p4_found": similar.p4_found,
         "p4_groups": similar.p4_groups,
+        "p5_found": personal.p5_found,
+        "p5_masked": personal.p5_masked,
         "p6_found": garbled.p6_found,
         "p6_restored": garbled.p6_restored,
         "p7_found": mail.p7_found,
