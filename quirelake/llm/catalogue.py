@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelake.llm import garbled, leaks, mail, personal, pieces, sentences, similar, tokens
+from quirelake.llm import garbled, leaks, mail, personal, pieces, sentences, similar, subjects, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": pieces.p1_found,
         "p1_pieces": pieces.p1_pieces,
+        "p3_found": subjects.p3_found,
         "p4_found": similar.p4_found,
         "p4_groups": similar.p4_groups,
         "p5_found": personal.p5_found,
