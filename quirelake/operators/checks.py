@@ -22,8 +22,8 @@ def row_checks(df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> Data
 
 def duplicate_keys(df: DataFrame, key: str, name: str, severity: str = "error") -> DataFrame:
     """How many rows repeat an earlier row's key; null keys aside."""
-    groups = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("k"))
-    return groups.agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).alias("n")).select(F.lit(name).alias("check_id"), F.lit(severity).alias("severity"), "n")
+    groups = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_times"))
+    return groups.agg(F.coalesce(F.sum(F.col("_times") - 1), F.lit(0)).alias("n")).select(F.lit(name).alias("check_id"), F.lit(severity).alias("severity"), "n")
 
 
 def orphans(df: DataFrame, column: str, known: DataFrame, key: str, name: str, severity: str = "error") -> DataFrame:

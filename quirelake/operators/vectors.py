@@ -68,7 +68,7 @@ def search(df: DataFrame, key: str, vector: str, queries: DataFrame, metric: str
     out = None
     for b in range(blocks):
         rows = asked.filter(F.pmod(F.xxhash64(key), F.lit(blocks)) == b).orderBy(key).collect()
-        matrix = np.array([r[vector] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+        matrix = np.array([r[vector] for r in rows], dtype=np.float64).reshape(len(rows), len(rows[0][vector]) if rows else 0)
         sent = spark.sparkContext.broadcast((np.array([r[key] for r in rows]), matrix))
         part = df.select(key, vector).mapInPandas(_scored(sent, key, vector, metric, k, threshold), f"query_id {kind}, {key} {kind}, score double")
         out = part if out is None else out.unionByName(part)
