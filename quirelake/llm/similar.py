@@ -190,8 +190,8 @@ class Links:
             self.links = self.links.unionByName(materialised(verified(docs, hops, shingle, least_words, similarity), "links"))
 
 
-#: Bands and bins of each for a similarity of 0.6 and of 0.8: at the threshold 98 and 99.9 of 100 pairs share a bucket.
-BANDS = {0.6: (48, 5), 0.8: (24, 5)}
+#: Bands and bins of each for a similarity of 0.6 and of 0.8: at the threshold 99.4 and 99.99 of 100 pairs share a bucket.
+BANDS = {0.6: (64, 5), 0.8: (24, 5)}
 
 
 def links(df: DataFrame, key: str, text: str, shingle: int = SHINGLE, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS, complete: bool = False) -> Links:
