@@ -221,7 +221,7 @@ def _authored(lines: list[str], first: int, nodes: list[Node]) -> None:
         here = line(k)
         if signed:
             nodes[k].kind = "signature"
-        elif _closing(here) and not (p + 1 < len(rest) and _closing(line(rest[p + 1]))) and _short(lines, first, nodes, rest[p + 1 :]):
+        elif _closing(here) and not (p == 0 and here.rstrip().endswith("!")) and not (p + 1 < len(rest) and _closing(line(rest[p + 1]))) and _short(lines, first, nodes, rest[p + 1 :]):
             nodes[k].kind, signed = "closing", True
         elif (_SIGN.match(here) or (_DEVICE.match(here) and len(here) < 70)) and _short(lines, first, nodes, rest[p + 1 :]):
             nodes[k].kind, signed = "signature", True

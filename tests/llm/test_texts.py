@@ -129,7 +129,7 @@ def new(text):
         ("On 04/05/2021 13:57, C U wrote:\n: q one\n: q two\n\nNew.", ["New."]), ("On Monday the donor wrote:\nIt is fine.", ["On Monday the donor wrote:", "It is fine."]),
         ("From: the dock to the annex it took hours.\nMore.", ["From: the dock to the annex it took hours.", "More."]), ("Text.\n-----Original Message-----\nFrom: a\nOld", ["Text."]), ("Original message boards from 1919.", ["Original message boards from 1919."]),
         ("Text.\n\n*** Begin quoted text ***\nA B, 07 Feb 2005\n    quoted\n\n    more\nAfter.", ["Text.", "After."]), ("Text.\n________________________________\nFrom: A B <a@b.c>\nSent: 1/2/2003 1:00\n\nOld", ["Text."]),
-        ("Thanks for the 80 scans, they are better than the last set.\nBest,\nA", ["Thanks for the 80 scans, they are better than the last set."]), ("Thanks!\nBest regards,\nS", ["Thanks!"]), ("Text.\n~~~~~~~~\nA B\nCurator", ["Text."]), ("Text.\nSent from my phone", ["Text."]),
+        ("Thanks for the 80 scans, they are better than the last set.\nBest,\nA", ["Thanks for the 80 scans, they are better than the last set."]), ("Thanks!\nBest regards,\nS", ["Thanks!"]), ("Thanks!\nSent from my phone", ["Thanks!"]), ("Text.\n~~~~~~~~\nA B\nCurator", ["Text."]), ("Text.\nSent from my phone", ["Text."]),
         ("Text.\n\nThis email has been scanned for viruses; the institution accepts no\nliability for damage caused by it.", ["Text."]), ("", []), (None, []), (" \n\t", []),
     ],
 )
