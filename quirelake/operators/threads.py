@@ -15,7 +15,7 @@ _BLOCK = r"(?s)\A\s*From:(.*?)\n\s*Sent:(.*?)\n\s*To:(.*?)\n(?:\s*Cc:(.*?)\n)?\s
 def messages(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, seq_no, message): each chain cut at its dividers and trimmed; null chains have no rows."""
     parts = F.split(F.col(text), DIVIDER)
-    return df.filter(F.col(text).isNotNull()).select(key, F.posexplode(parts).alias("p", "m")).select(key, (F.col("p") + 1).cast("int").alias("seq_no"), trimmed(F.col("m")).alias("message"))
+    return df.filter(F.col(text).isNotNull()).select(key, F.posexplode(parts).alias("_p", "_m")).select(key, (F.col("_p") + 1).cast("int").alias("seq_no"), trimmed(F.col("_m")).alias("message"))
 
 
 def headers(message: Column) -> Column:
@@ -36,12 +36,12 @@ def segments(df: DataFrame, key: str, text: str) -> DataFrame:
 
     The running count is taken within one text, which Spark may spill; lines before the first subject form segment 0.
     """
-    lines = df.filter(F.col(text).isNotNull()).select(key, F.posexplode(F.split(F.col(text), "\r?\n")).alias("pos", "line"))
-    opens = F.col("line").startswith("Subject:")
-    own = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    lines = df.filter(F.col(text).isNotNull()).select(key, F.posexplode(F.split(F.col(text), "\r?\n")).alias("_pos", "_line"))
+    opens = F.col("_line").startswith("Subject:")
+    own = Window.partitionBy(key).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     numbered = lines.withColumn("seg_no", F.sum(opens.cast("int")).over(own))
-    subject = F.max(F.when(opens, trimmed(F.substring("line", 9, 10_000))))
-    return numbered.groupBy(key, "seg_no").agg(subject.alias("subject"), F.count_if(~opens & (trimmed(F.col("line")) != "")).alias("lines"))
+    subject = F.max(F.when(opens, trimmed(F.substring("_line", 9, 10_000))))
+    return numbered.groupBy(key, "seg_no").agg(subject.alias("subject"), F.count_if(~opens & (trimmed(F.col("_line")) != "")).alias("lines"))
 
 
 def folders(path: Column, n: int) -> list[Column]:

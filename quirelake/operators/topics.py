@@ -18,14 +18,14 @@ def term_weights(df: DataFrame, key: str, text: str, least: int = 2, most: float
     Texts without a word have no rows.
     """
     words = df.select(key, F.explode(topic_words(F.col(text))).alias("term"))
-    counts = words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    n = df.agg(F.count(F.lit(1)).alias("n"))
-    spread = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    kept = spread.crossJoin(F.broadcast(n)).filter((F.col("df") >= least) & (F.col("df") <= most * F.col("n")))
-    kept = kept.select("term", (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
-    raw = counts.join(kept, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    length = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l"))
-    return raw.join(length, key).select(key, "term", (F.col("w") / F.col("l")).alias("weight"))
+    counts = words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
+    n = df.agg(F.count(F.lit(1)).alias("_n"))
+    spread = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    kept = spread.crossJoin(F.broadcast(n)).filter((F.col("_df") >= least) & (F.col("_df") <= most * F.col("_n")))
+    kept = kept.select("term", (F.log((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("_df"))) + 1).alias("_idf"))
+    raw = counts.join(kept, "term").select(key, "term", (F.col("_tf") * F.col("_idf")).alias("_w"))
+    length = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_l"))
+    return raw.join(length, key).select(key, "term", (F.col("_w") / F.col("_l")).alias("weight"))
 
 
 def central_terms(weights: DataFrame, groups: DataFrame, key: str, group: str, top: int = 10) -> DataFrame:
@@ -78,10 +78,10 @@ def central_sentences(df: DataFrame, key: str, text: str, top: int = 3) -> DataF
     Likeness is the cosine of word sets; a text's sentences meet only each other, through the text's word counts: the
     sum of a sentence's likeness to all others is its words' summed weights, so no pairs of sentences are formed.
     """
-    parts = df.select(key, F.posexplode(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"([.!?])\s+", "$1\x01"), "\x01")).alias("pos", "sentence")).filter(F.trim("sentence") != "")
-    words = parts.select(key, "pos", "sentence", F.array_distinct(topic_words(F.col("sentence"))).alias("ws")).filter(F.size("ws") > 0)
-    flat = words.select(key, "pos", F.size("ws").alias("k"), F.explode("ws").alias("w"))
-    total = flat.groupBy(key, "w").agg(F.sum(1 / F.sqrt("k")).alias("t"))
-    scored = flat.join(total, [key, "w"]).groupBy(key, "pos").agg(F.round(F.sum(F.col("t") / F.sqrt("k")), 9).alias("score"))
-    best = scored.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "pos"))).filter(F.col("r") <= top)
-    return best.join(parts, [key, "pos"]).groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sentence"))), lambda x: x["sentence"]), " ").alias("summary"))
+    parts = df.select(key, F.posexplode(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"([.!?])\s+", "$1\x01"), "\x01")).alias("_pos", "_sentence")).filter(F.trim("_sentence") != "")
+    words = parts.select(key, "_pos", F.array_distinct(topic_words(F.col("_sentence"))).alias("_ws")).filter(F.size("_ws") > 0)
+    flat = words.select(key, "_pos", F.size("_ws").alias("_len"), F.explode("_ws").alias("_w"))
+    total = flat.groupBy(key, "_w").agg(F.sum(1 / F.sqrt("_len")).alias("_t"))
+    scored = flat.join(total, [key, "_w"]).groupBy(key, "_pos").agg(F.round(F.sum(F.col("_t") / F.sqrt("_len")), 9).alias("_score"))
+    best = scored.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("_score"), "_pos"))).filter(F.col("_r") <= top)
+    return best.join(parts, [key, "_pos"]).groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_sentence"))), lambda x: x["_sentence"]), " ").alias("summary"))
