@@ -263,5 +263,5 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p4_groups(spark: SparkSession, folder: str) -> DataFrame:
     """(src_table, row_key, group_key, links, copies) of every record in a group, under the same similarity."""
-    parts = [groups(links(df, "id", "text", 3, 0.6, 30)).select(F.lit(name).alias("src_table"), F.col("id").alias("row_key"), "group_key", "links", "copies") for name, df in _records(spark, folder)]
+    parts = [groups(links(df, "id", "text", 3, 0.6, 30, True)).select(F.lit(name).alias("src_table"), F.col("id").alias("row_key"), "group_key", "links", "copies") for name, df in _records(spark, folder)]
     return parts[0].unionByName(parts[1])

@@ -103,6 +103,32 @@ def test_personal(spark):
     assert masked[2] is None and masked[3] == "" and "Samir Cérombe" not in masked[1] and masked[1].startswith("From: <PERSON:")
 
 
+def family(seed, n, edits, length=80):
+    """Texts of one template, each with so many other words put into it, and brute force's pairs of 0.6 and more."""
+    import random
+
+    rng = random.Random(seed)
+    base, texts = [f"w{rng.randint(0, 5000)}" for _ in range(length)], []
+    for i in range(n):
+        w = list(base)
+        for k in rng.sample(range(length), edits):
+            w[k] = f"x{i}y{k}"
+        texts.append(" ".join(w))
+    sets = [{tuple(t.split()[k : k + 3]) for k in range(length - 2)} for t in texts]
+    return texts, {(a + 1, b + 1) for a in range(n) for b in range(a + 1, n) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.6}
+
+
+def test_groups_count_every_link_of_a_large_family(spark, tmp_path):
+    from collections import Counter
+
+    texts, want = family(5, 100, 2)
+    df = table(spark, rows_of(*texts))
+    df.select(F.col("id").alias("message_id"), F.col("text").alias("email_original_message"), F.lit(0).cast("timestamp").alias("ingested_at")).write.parquet(f"{tmp_path}/df_exploded.parquet")
+    df.limit(0).select(F.col("id").cast("string").alias("file_id"), F.col("text").alias("original_text"), F.lit(0).cast("timestamp").alias("time_processed")).write.parquet(f"{tmp_path}/final_df_summaries.parquet")
+    got = {r.row_key: r.links for r in similar.p4_groups(spark, str(tmp_path)).collect()}
+    assert len(want) > 3000 and got == Counter(i for pair in want for i in pair)
+
+
 def test_garbled(spark):
     clean = ["Prüfung für Köln", "señora año niño", "façade café résumé", "Gäste über Grüße", "théâtre à l'été", "Übersicht lösen"] * 30
     bad = [t.encode().decode("latin-1") for t in clean[:12]]
