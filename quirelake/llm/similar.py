@@ -2,8 +2,9 @@
 
 Each text's distinct shingles are hashed into one permutation of bins (OPH); an empty bin takes the value of a bin drawn
 by its own number (optimal densification). Bands of bins give buckets. In each bucket every record is a candidate with
-one hub only, drawn anew for each band, so pairs stay linear in the records; candidates are verified on their whole
-shingle sets, and records that share a verified partner are verified against each other as well.
+one hub first, drawn anew for each band; candidates are verified on their whole shingle sets. Complete links go on with
+the records that share a verified partner and with all other pairs of each bucket, so a pair is missed only where it
+shares neither.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ WORD = re.compile(r"[^\W_]+")
 SHINGLE, SIMILARITY, LEAST_WORDS = 5, 0.8, 5
 #: Copies of one text up to so many are listed in all pairs, more as a star around the least key.
 ALL_PAIRS = 50
+#: A group's rows are joined with each other in slices of about so many.
+SLICE = 1000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -164,6 +167,14 @@ def verified(docs: DataFrame, pairs: DataFrame, shingle: int, least_words: int,
     return shared.select("a", "b", (F.col("s") / (F.col("n") - F.col("s"))).alias("similarity")).filter(F.col("similarity") >= similarity - 1e-12)
 
 
+def _every_two(rows: DataFrame) -> DataFrame:
+    """(a, b), a < b: every two values of a group, from (g, v, n) rows with the group's size. Large groups are salted."""
+    slices = F.ceil(F.col("n") / SLICE)
+    left = rows.select("g", F.pmod(F.xxhash64("v"), slices).alias("s"), F.col("v").alias("a"))
+    right = rows.select("g", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)).alias("s"), F.col("v").alias("b"))
+    return left.join(right, ["g", "s"]).filter("a < b").select("a", "b")
+
+
 class Links:
     """Verified links between the least keys of equal shingle sets, and who holds each set.
 
@@ -178,16 +189,18 @@ class Links:
         self.sketches = sk
         self.copies = sk.select("id", "set_a", "set_b").join(_few(shared, shared.count()), ["set_a", "set_b"]).select("id", "rep", "n")
         places = reps.select("rep", F.explode("bands").alias("k"))
-        hubs = places.groupBy("k").agg(F.min_by("rep", F.xxhash64("rep", "k")).alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("k", "hub")
+        hubs = places.groupBy("k").agg(F.min_by("rep", F.xxhash64("rep", "k")).alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("k", "hub", "m")
         hubs = materialised(hubs, "hubs")
-        near = places.join(_few(hubs, hubs.count()), "k").filter("rep <> hub")
-        pairs = materialised(near.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct(), "candidates")
+        near = materialised(places.join(_few(hubs, hubs.count()), "k"), "near")
+        pairs = materialised(near.filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct(), "candidates")
         self.links = materialised(verified(docs, pairs, shingle, least_words, similarity), "links")
         if complete:
             ends = self.links.select("a", "b").unionByName(self.links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            hops = ends.toDF("m", "a").join(ends.toDF("m", "b"), "m").filter("a < b").select("a", "b").distinct()
-            hops = materialised(hops.join(self.links, ["a", "b"], "left_anti"), "hops")
-            self.links = self.links.unionByName(materialised(verified(docs, hops, shingle, least_words, similarity), "links"))
+            hops = ends.toDF("m", "a").join(ends.toDF("m", "b"), "m").filter("a < b").select("a", "b")
+            # A hub speaks only for the records like it, so the bucket's other pairs are verified too.
+            others = _every_two(near.select(F.col("k").alias("g"), F.col("rep").alias("v"), F.col("m").alias("n")))
+            others = materialised(hops.unionByName(others).distinct().join(pairs, ["a", "b"], "left_anti"), "others")
+            self.links = self.links.unionByName(materialised(verified(docs, others, shingle, least_words, similarity), "links"))
 
 
 #: Bands and bins of each for a similarity of 0.6 and of 0.8: at the threshold 99.4 and 99.99 of 100 pairs share a bucket.
@@ -195,7 +208,7 @@ BANDS = {0.6: (64, 5), 0.8: (24, 5)}
 
 
 def links(df: DataFrame, key: str, text: str, shingle: int = SHINGLE, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS, complete: bool = False) -> Links:
-    """Links of a table's texts; ``complete`` also verifies every two records that share a verified partner.
+    """Links of a table's texts; ``complete`` also verifies every two records that share a bucket or a verified partner.
 
     Words are the longest runs of letters and digits, lower-cased. Null keys, null texts and texts with fewer than
     ``least_words`` words have no links. Keys must be unique.

@@ -129,6 +129,18 @@ def test_groups_count_every_link_of_a_large_family(spark, tmp_path):
     assert len(want) > 3000 and got == Counter(i for pair in want for i in pair)
 
 
+def test_pairs_of_a_large_family_at_the_threshold(spark):
+    texts, want = family(6, 300, 4)
+    got = {(r.a, r.b) for r in similar.links(table(spark, rows_of(*texts)), "id", "text", 3, 0.6, 30, True).links.collect()}
+    assert len(want) > 300 and got <= want and len(got) >= 0.98 * len(want)
+
+
+def test_every_two_of_a_salted_group(spark):
+    rows = spark.createDataFrame([(1, k, 2500) for k in range(2500)] + [(2, k, 3) for k in range(3)], "g long, v long, n long")
+    got = similar._every_two(rows)
+    assert got.count() == 2500 * 2499 // 2 + 3 and got.distinct().count() == 2500 * 2499 // 2
+
+
 def test_garbled(spark):
     clean = ["Prüfung für Köln", "señora año niño", "façade café résumé", "Gäste über Grüße", "théâtre à l'été", "Übersicht lösen"] * 30
     bad = [t.encode().decode("latin-1") for t in clean[:12]]
