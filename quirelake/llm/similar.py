@@ -23,7 +23,7 @@ from quirelake.tables import BROADCAST_KEYS, latest_rows, spread, table
 WORD = re.compile(r"[^\W_]+")
 #: Words of a shingle, least similarity and least words of a text where a caller names none.
 SHINGLE, SIMILARITY, LEAST_WORDS = 5, 0.8, 5
-#: Copies of one text up to so many are listed in all pairs, more as a star around the least key.
+#: Copies of one and the same text up to so many are listed in all pairs, more as a star around the least key.
 ALL_PAIRS = 50
 #: A group's rows are joined with each other in slices of about so many.
 SLICE = 1000
@@ -114,7 +114,7 @@ def _columns(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def sketches(docs: DataFrame, shingle: int, least_words: int, bands: int, rows: int) -> DataFrame:
-    """(id, set_a, set_b, bands): two hashes of the whole shingle set and the band keys. Shorter texts have no row."""
+    """(id, set_a, set_b, same, bands): hashes of the whole shingle set (two) and of the text, and the band keys. Shorter texts have no row."""
     kind = dict(docs.dtypes)["id"]
 
     def run(parts):
@@ -130,9 +130,12 @@ def sketches(docs: DataFrame, shingle: int, least_words: int, bands: int, rows:
                 starts = np.searchsorted(owner, np.arange(n))
                 total, mixed = np.add.reduceat(_stir(shingles), starts), np.bitwise_xor.reduceat(_stir(shingles + np.uint64(77)), starts)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(keys.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(kept)), pa.array(total.view(np.int64)), pa.array(mixed.view(np.int64)), flat], names=["id", "set_a", "set_b", "bands"])
+                texts = some.column(1).take(pa.array(kept)).to_pylist()
+                same = np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts], dtype=np.uint64)
+                hashes = [pa.array(x.view(np.int64)) for x in (total, mixed, same)]
+                yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(kept)), *hashes, flat], names=["id", "set_a", "set_b", "same", "bands"])
 
-    return spread(docs).mapInArrow(run, f"id {kind}, set_a long, set_b long, bands array<long>")
+    return spread(docs).mapInArrow(run, f"id {kind}, set_a long, set_b long, same long, bands array<long>")
 
 
 def _shingle_sets(docs: DataFrame, shingle: int, least_words: int) -> DataFrame:
@@ -178,7 +181,8 @@ def _every_two(rows: DataFrame) -> DataFrame:
 class Links:
     """Verified links between the least keys of equal shingle sets, and who holds each set.
 
-    links: (a, b, similarity) with a < b, both representatives; copies: (id, rep, n) for sets held more than once.
+    links: (a, b, similarity) with a < b, both representatives; copies: (id, rep, n, same) for sets held more than once,
+    ``same`` being equal for equal texts.
     """
 
     def __init__(self, docs: DataFrame, shingle: int, similarity: float, least_words: int, bands: int, rows: int, complete: bool):
@@ -187,7 +191,7 @@ class Links:
         reps = sk.groupBy("set_a", "set_b").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.min_by("bands", "id").alias("bands"))
         shared = materialised(reps.filter("n > 1").select("set_a", "set_b", "rep", "n"), "shared")
         self.sketches = sk
-        self.copies = sk.select("id", "set_a", "set_b").join(_few(shared, shared.count()), ["set_a", "set_b"]).select("id", "rep", "n")
+        self.copies = sk.select("id", "set_a", "set_b", "same").join(_few(shared, shared.count()), ["set_a", "set_b"]).select("id", "rep", "n", "same")
         places = reps.select("rep", F.explode("bands").alias("k"))
         hubs = places.groupBy("k").agg(F.min_by("rep", F.xxhash64("rep", "k")).alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("k", "hub", "m")
         hubs = materialised(hubs, "hubs")
@@ -221,15 +225,22 @@ def all_pairs(found: Links) -> DataFrame:
     """(a, b, similarity): every linked pair of records, a < b.
 
     Up to ``ALL_PAIRS`` copies of one text take part in all pairs; beyond it the least key stands for them, and they
-    are listed as pairs with it.
+    are listed as pairs with it. Texts that differ take part in all pairs, though their shingles be the same.
     """
-    small, large = found.copies.filter(F.col("n") <= ALL_PAIRS), found.copies.filter(F.col("n") > ALL_PAIRS)
-    lists = small.groupBy("rep").agg(F.collect_list("id").alias("ids"))
-    out = found.links.join(lists.toDF("a", "xs"), "a", "left").join(lists.toDF("b", "ys"), "b", "left")
-    out = out.select("similarity", F.explode(F.coalesce("xs", F.array("a"))).alias("x"), "b", "ys").select("similarity", "x", F.explode(F.coalesce("ys", F.array("b"))).alias("y"))
+    texts = found.copies.groupBy("rep", "same").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("held"))
+    copies = materialised(found.copies.select("id", "rep", "same").join(texts, ["rep", "same"]), "copies")
+    stars = copies.filter((F.col("held") > ALL_PAIRS) & (F.col("id") != F.col("first"))).select(F.col("first").alias("a"), F.col("id").alias("b"))
+    members = copies.filter((F.col("held") <= ALL_PAIRS) | (F.col("id") == F.col("first"))).select("rep", "id")
+    sizes = materialised(members.groupBy("rep").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    members = materialised(members.join(sizes, "rep"), "members")
+    slices = F.ceil(F.col("n") / SLICE)
+    sliced = members.select("rep", F.pmod(F.xxhash64("id"), slices).alias("s"), "id")
+    out = found.links
+    for end, name in (("a", "x"), ("b", "y")):
+        cut = out.join(sizes.withColumnRenamed("rep", end), end, "left").withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(slices, F.lit(1)) - 1))).drop("n")
+        out = cut.join(sliced.toDF(end, "s", name), [end, "s"], "left").filter(F.col(name).isNotNull() | (F.col("s") == 0)).withColumn(name, F.coalesce(name, end)).drop("s")
     between = out.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
-    twins = lists.select("ids", F.explode("ids").alias("a")).select("a", F.explode("ids").alias("b")).filter("a < b")
-    twins = twins.unionByName(large.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")))
+    twins = _every_two(members.select(F.col("rep").alias("g"), F.col("id").alias("v"), "n")).unionByName(stars)
     return between.unionByName(twins.select("a", "b", F.lit(1.0).alias("similarity")))
 
 

@@ -135,6 +135,13 @@ def test_pairs_of_a_large_family_at_the_threshold(spark):
     assert len(want) > 300 and got <= want and len(got) >= 0.98 * len(want)
 
 
+def test_many_texts_of_equal_words_are_listed_in_all_pairs(spark):
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(base[:k]) + ". " + " ".join(base[k:]) for k in range(1, 52)] + [" ".join(base[:55] + ["an", "edited", "end"])]
+    pairs = [(r.a, r.b) for r in similar.all_pairs(similar.links(table(spark, rows_of(*texts)), "id", "text", 3, 0.6, 30, True)).collect()]
+    assert sorted(pairs) == [(a, b) for a in range(1, 53) for b in range(a + 1, 53)]
+
+
 def test_every_two_of_a_salted_group(spark):
     rows = spark.createDataFrame([(1, k, 2500) for k in range(2500)] + [(2, k, 3) for k in range(3)], "g long, v long, n long")
     got = similar._every_two(rows)
