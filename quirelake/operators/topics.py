@@ -42,13 +42,13 @@ def clusters(df: DataFrame, key: str, vector: str, k: int = 6, seed: int = 42) -
     return KMeans(k=k, seed=seed, maxIter=20).fit(rows).transform(rows).select(key, F.col("prediction").alias("topic_id"))
 
 
-def nested_clusters(df: DataFrame, key: str, vector: str, leaf: int = 500, most: int = 64, seed: int = 42) -> DataFrame:
-    """(key, topic_id): bisecting k-means until leaves have about ``leaf`` rows; it stops where a part can't be divided."""
+def nested_clusters(df: DataFrame, key: str, vector: str, leaf: int = 500, seed: int = 42) -> DataFrame:
+    """(key, topic_id): bisecting k-means, on with every part above ``leaf`` rows; it stops where a part can't be divided."""
     rows = df.filter(F.col(vector).isNotNull()).select(key, array_to_vector(vector).alias("features"))
-    k = max(1, min(most, -(-rows.count() // leaf)))
-    if k == 1:
+    n = rows.count()
+    if n <= leaf:
         return rows.select(key, F.lit(0).alias("topic_id"))
-    return BisectingKMeans(k=k, seed=seed, minDivisibleClusterSize=2.0).fit(rows).transform(rows).select(key, F.col("prediction").alias("topic_id"))
+    return BisectingKMeans(k=n, seed=seed, minDivisibleClusterSize=max(2.0, leaf + 1.0)).fit(rows).transform(rows).select(key, F.col("prediction").alias("topic_id"))
 
 
 def lda_topics(df: DataFrame, key: str, text: str, k: int = 5, top: int = 10, seed: int = 42, vocabulary: int = 20_000, rounds: int = 10) -> DataFrame:

@@ -167,3 +167,14 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
     events = spark.createDataFrame([(1, datetime(2020, 1, 1, 0, 0)), (1, datetime(2020, 1, 1, 0, 29)), (1, datetime(2020, 1, 1, 1, 0)), (2, None)], "u long, ts timestamp_ntz")
     assert sorted(r.n for r in ingest.sessions(events, "u", "ts").collect()) == [1, 2]
+
+
+def test_nested_clusters_divide_every_part_above_leaf(spark):
+    import random
+
+    from quirelake.operators import topics
+
+    rng = random.Random(2)
+    df = spark.createDataFrame([(k, [rng.random() for _ in range(4)]) for k in range(900)], "id long, v array<double>")
+    sizes = [r["count"] for r in topics.nested_clusters(df, "id", "v", leaf=8).groupBy("topic_id").count().collect()]
+    assert sum(sizes) == 900 and len(sizes) > 64 and max(sizes) <= 10
