@@ -158,6 +158,13 @@ def test_garbled(spark):
     assert garbled.restore(df.limit(0), "id").count() == 0
 
 
+def test_garbled_takes_three_rounds_under_the_strict_shares(spark, monkeypatch):
+    rounds, shares = [], garbled._shares
+    monkeypatch.setattr(garbled, "_shares", lambda counts, types, strict: rounds.append(strict) or shares(counts, types, strict))
+    garbled.learn(spark.createDataFrame([("f", "s", False, "señora año niño")], "field string, source string, path boolean, text string"))
+    assert sum(rounds) >= 3
+
+
 def test_subjects(spark):
     areas = spark.createDataFrame([("law", "Law", "Courts and statutes"), ("art", "Visual arts", "Painting")], "subject_code string, subject_title string, scope_note string")
     words = {"law": ["court", "statute", "plaintiff", "verdict", "counsel"], "art": ["mural", "glaze", "easel", "portrait", "pigment"]}
