@@ -4,7 +4,8 @@ Windows of item and document words are embedded by a random walk (CGK): at each
 current word and moves on by a random bit that depends on the step and the word, so that a few edits change few of the
 emitted places. Some emitted places are drawn (bit sampling), several times over; windows that agree on all places of a
 draw are candidates, and each candidate is verified by its exact edit distance in words. Equal windows agree in every
-draw, so an unchanged passage is always found.
+draw, so an unchanged passage is always found. Windows are also cut into one part more than edits are allowed: other
+words in so many places leave one part as it was, so such windows are always candidates too.
 """
 
 from __future__ import annotations
@@ -51,14 +52,16 @@ class WindowIndex:
         self.label = rng.integers(1, 2**62, size=n, dtype=np.int64)
         self.draws = [np.sort(rng.choice(int(1.4 * window), PLACES, replace=False)) for _ in range(DRAWS)]
         self.mix = rng.integers(1, 2**62, size=(DRAWS, PLACES), dtype=np.int64) | 1
+        self.parts = np.array_split(np.arange(window), edits + 1)
+        self.place = rng.integers(1, 2**62, size=window, dtype=np.int64) | 1
         keys = self.keys(self.rows)
         self.tables = []
-        for d in range(DRAWS):
+        for d in range(len(keys)):
             order = np.argsort(keys[d], kind="stable")
             self.tables.append((keys[d][order], order))
 
     def keys(self, rows: np.ndarray) -> np.ndarray:
-        """One key for each draw and window. Word 0 stands for every word that no item holds."""
+        """One key for each draw or part, and window. Word 0 stands for every word that no item holds."""
         padded = np.concatenate([rows, np.full((len(rows), 1), len(self.vocab) + 1, dtype=np.int32)], axis=1)
         at, every = np.zeros(len(rows), dtype=np.int64), np.arange(len(rows))
         out = np.zeros((DRAWS, len(rows)), dtype=np.int64)
@@ -69,7 +72,8 @@ class WindowIndex:
                 if len(hit):
                     out[d] ^= self.label[word] * self.mix[d, hit[0]]
             at = np.minimum(at + self.moves[step, word], rows.shape[1])
-        return out
+        whole = [np.bitwise_xor.reduce(self.label[rows[:, p]] * self.place[p], axis=1) for p in self.parts]
+        return np.concatenate([out, np.stack(whole)])
 
     def search(self, stream: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position in stream, item, edits) of each verified match; a window starts where ``first`` allows it.

@@ -38,6 +38,19 @@ def test_leaks(spark):
     assert leaks.leaks(df.limit(0), "id", "text", items).count() == 0 and leaks.leaks(df, "id", "text", items.limit(0)).count() == 0
 
 
+def test_leaks_find_one_other_word_at_every_place():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 3000, 13)) for _ in range(40)]
+    index = leaks.WindowIndex(list(enumerate(texts)))
+    for place in range(13):
+        rows = index.rows.copy()
+        rows[:, place] = 0
+        at, item, edits = index.search(rows.reshape(-1), np.arange(0, rows.size, 13))
+        assert list(zip(at // 13, item, edits)) == [(k, k, 1) for k in range(40)]
+
+
 def test_similar_with_a_hot_group_of_copies(spark):
     import random
 
