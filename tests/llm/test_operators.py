@@ -60,7 +60,7 @@ def test_similar_with_a_hot_group_of_copies(spark):
     other = " ".join(str(rng.random()) for _ in range(60))
     texts = [" ".join(base)] * 120 + [edited, edited, other, None, "", "few words"]
     df = table(spark, rows_of(*texts))
-    found = similar.links(df, "id", "text", 3, 0.6, 30, True)
+    found = similar.links(df, "id", "text", 3, 0.6, 30)
     pairs = {(r.a, r.b): round(r.similarity, 3) for r in similar.all_pairs(found).collect()}
     assert all((1, k) in pairs for k in range(2, 121)) and pairs[1, 121] == pairs[1, 122] < 1 and pairs[121, 122] == 1.0 and len(pairs) == 122
     got = {r.id: r for r in similar.groups(found).collect()}
@@ -74,6 +74,14 @@ def test_components_of_a_chain(spark):
     assert all(got[k] == 0 for k in range(41)) and got[101] == 100
 
 
+def test_components_that_do_not_settle_are_an_error(spark):
+    import pytest
+
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        similar.components(edges, rounds=1).count()
+
+
 def test_pairs_against_brute_force(spark):
     import random
 
@@ -89,7 +97,7 @@ def test_pairs_against_brute_force(spark):
             texts.append(" ".join(w))
     sets = {i: {tuple(t.split()[k : k + 3]) for k in range(58)} for i, t in enumerate(texts, 1)}
     want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.6}
-    got = {(r.a, r.b) for r in similar.all_pairs(similar.links(table(spark, rows_of(*texts)), "id", "text", 3, 0.6, 30, True)).collect()}
+    got = {(r.a, r.b) for r in similar.all_pairs(similar.links(table(spark, rows_of(*texts)), "id", "text", 3, 0.6, 30)).collect()}
     assert got <= want and len(got) >= 0.98 * len(want)
 
 
@@ -144,17 +152,48 @@ def test_groups_count_every_link_of_a_large_family(spark, tmp_path):
 
 def test_pairs_of_a_large_family_at_the_threshold(spark):
     texts, want = family(6, 300, 4)
-    got = {(r.a, r.b) for r in similar.links(table(spark, rows_of(*texts)), "id", "text", 3, 0.6, 30, True).links.collect()}
+    got = {(r.a, r.b) for r in similar.links(table(spark, rows_of(*texts)), "id", "text", 3, 0.6, 30).links.collect()}
     assert len(want) > 300 and got <= want and len(got) >= 0.98 * len(want)
 
 
 def test_many_texts_of_equal_words_are_listed_in_all_pairs(spark):
     base = [f"w{k}" for k in range(60)]
     texts = [" ".join(base[:k]) + ". " + " ".join(base[k:]) for k in range(1, 52)] + [" ".join(base[:55] + ["an", "edited", "end"])]
-    pairs = [(r.a, r.b) for r in similar.all_pairs(similar.links(table(spark, rows_of(*texts)), "id", "text", 3, 0.6, 30, True)).collect()]
+    pairs = [(r.a, r.b) for r in similar.all_pairs(similar.links(table(spark, rows_of(*texts)), "id", "text", 3, 0.6, 30)).collect()]
     assert sorted(pairs) == [(a, b) for a in range(1, 53) for b in range(a + 1, 53)]
 
 
+def test_copies_beyond_the_bound_are_all_listed_or_joined_back(spark):
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(base)] * 60 + [" ".join(base[:58] + ["an", "end"])] * 2
+    found = similar.links(table(spark, rows_of(*texts)), "id", "text", 3, 0.6, 30)
+    every = {(a, b) for a in range(1, 63) for b in range(a + 1, 63)}
+    assert {(r.a, r.b) for r in similar.all_pairs(found, None).collect()} == every
+    short = {(r.a, r.b) for r in similar.all_pairs(found).collect()}
+    held = {}
+    for r in similar.groups(found).collect():
+        held.setdefault(r.class_key, []).append(r.id)
+    joined = {tuple(sorted((x, y))) for a, b in short for x in held.get(a, [a]) for y in held.get(b, [b]) if x != y} | {(x, y) for ids in held.values() for x in ids for y in ids if x < y}
+    assert len(short) < len(every) and joined == every
+
+
+def test_a_star_is_cut_into_slices_without_losing_a_pair(spark, monkeypatch):
+    monkeypatch.setattr(similar, "SLICE", 40)
+    monkeypatch.setattr(similar, "COLUMNS", 50)
+    texts, want = family(8, 200, 2)
+    got = [(r.a, r.b) for r in similar.links(table(spark, rows_of(*texts)), "id", "text", 3, 0.6, 30).links.collect()]
+    assert len(want) > 15_000 and set(got) == want and len(got) == len(want)
+
+
+def test_a_hub_of_thousands_of_near_copies_ends(spark):
+    import random
+
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(90)]
+    texts = [" ".join(base[:k] + [f"x{i}"] + base[k:]) for i in range(3000) for k in (rng.randint(1, 89),)]
+    assert similar.links(table(spark, rows_of(*texts)), "id", "text", 3, 0.6, 30).links.count() == 3000 * 2999 // 2
+
+
 def test_every_two_of_a_salted_group(spark):
     rows = spark.createDataFrame([(1, k, 2500) for k in range(2500)] + [(2, k, 3) for k in range(3)], "g long, v long, n long")
     got = similar._every_two(rows)
