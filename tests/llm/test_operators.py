@@ -33,24 +33,11 @@ def test_tokens(spark):
 
 def test_leaks(spark):
     items = spark.createDataFrame([(7, "a b c d e f g h i j k l m n o p"), (8, "too short"), (9, None)], "item_id long, text string")
-    df = table(spark, rows_of("x A-b c d e f g h i j k l m y", None, "", "a b c d e f g h i j k l", "a b c X e f g h i j k l m"))
-    assert {(r.id, r.item_id, r.edits) for r in leaks.leaks(df, "id", "text", items).collect()} == {(1, 7, 0), (5, 7, 1)}
+    df = table(spark, rows_of("x A-b c d e f g h i j k l m y", None, "", "a b c d e f g h i j k l", "a b c X e f g h i j k l m", "b c d e f X g h i j k l m n", "c d e f h i j k l m n o"))
+    assert {(r.id, r.item_id, r.edits) for r in leaks.leaks(df, "id", "text", items).collect()} == {(1, 7, 0), (4, 7, 1), (5, 7, 1), (6, 7, 1), (7, 7, 1)}
     assert leaks.leaks(df.limit(0), "id", "text", items).count() == 0 and leaks.leaks(df, "id", "text", items.limit(0)).count() == 0
 
 
-def test_leaks_find_one_other_word_at_every_place():
-    import numpy as np
-
-    rng = np.random.default_rng(4)
-    texts = [" ".join(f"w{k}" for k in rng.integers(0, 3000, 13)) for _ in range(40)]
-    index = leaks.WindowIndex(list(enumerate(texts)))
-    for place in range(13):
-        rows = index.rows.copy()
-        rows[:, place] = 0
-        at, item, edits = index.search(rows.reshape(-1), np.arange(0, rows.size, 13))
-        assert list(zip(at // 13, item, edits)) == [(k, k, 1) for k in range(40)]
-
-
 def test_similar_with_a_hot_group_of_copies(spark):
     import random
 

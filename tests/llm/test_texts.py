@@ -51,24 +51,75 @@ def test_tokens_equal_the_reference_encoder():
 
 
 # ---------------------------------------------------------------- leaks
-def test_leaks_find_every_unchanged_window_and_single_edits():
+def test_leaks_find_every_unchanged_window():
     rng = random.Random(2)
-    words = [f"w{i}" for i in range(200)]
-    items = [(i, " ".join(rng.choice(words) for _ in range(30))) for i in range(20)]
+    vocabulary = [f"w{i}" for i in range(200)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(30))) for i in range(20)]
+    items += [(90, items[0][1])]
     index = leaks.WindowIndex(items)
     for item, text in items:
         w = text.split()
         k = rng.randint(0, 17)
         doc = ["zz"] * 5 + w[k : k + 13] + ["zz"] * 5
-        ids = np.array([index.vocab.get(x, 0) for x in doc], dtype=np.int32)
-        at, owner, edits = index.search(ids, np.arange(len(doc) - 12))
-        assert (5, item, 0) in set(zip(at.tolist(), owner.tolist(), edits.tolist()))
-    a = np.array([[1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13]])
-    for b, d in (([1, 2, 3, 4, 5, 6, 99, 8, 9, 10, 11, 12, 13], 1), ([2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 50], 2), (a[0], 0)):
-        assert leaks.WindowIndex([], edits=2).distance(a, np.array([b]))[0] == d
+        number, at, owner, edits = index.search([[], [index.vocab.get(x, 0) for x in doc]])
+        assert (1, 5, item, 0) in set(zip(number.tolist(), at.tolist(), owner.tolist(), edits.tolist()))
     assert leaks.words("A-b_c É1") == ["a", "b", "c", "é1"] and leaks.words(None) == []
 
 
+def test_distances_to_the_nearest_beginning():
+    a = np.array([[1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13]])
+    cases = (([1, 2, 3, 4, 5, 6, 99, 8, 9, 10, 11, 12, 13, 0, 0], 1), ([2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 50, 51, 52], 1), ([*a[0], 0, 0], 0), ([1, 2, 99, 3, 4, 5, 6, 98, 7, 8, 9, 10, 11, 12, 13], 2), ([1, 2, 99, 98, 97, 6, 7, 8, 9, 10, 11, 12, 13, 0, 0], 3))
+    assert [int(leaks.WindowIndex([], edits=2).distance(a, np.array([b]))[0]) for b, _ in cases] == [d for _, d in cases]
+
+
+def test_leaks_recall_by_kind_of_edit_and_place():
+    """The stated recall, at every place of a window that one edit can stand at; words of the items' own stand around."""
+    rng = np.random.default_rng(11)
+    items = [(i, " ".join(f"w{k}" for k in rng.integers(0, 400, 40))) for i in range(100)]
+    index = leaks.WindowIndex(items)
+    every = []
+    for kind in ("replaced", "put in", "left out"):
+        for place in range(12 if kind == "put in" else 13):
+            picked = rng.integers(0, len(index.rows), 100)
+            docs = []
+            for k in picked:
+                row, other = index.rows[k].tolist(), int(rng.integers(0, 2)) * int(rng.integers(1, len(index.vocab)))
+                row[place : place + 1] = {"replaced": [other], "put in": [row[place], other], "left out": []}[kind]
+                docs.append([3, 0, *row, 0, 5])
+            doc, _, item, _ = index.search(docs)
+            got = set(zip(doc.tolist(), item.tolist()))
+            hits = sum((i, int(index.owner[index.owned[k]])) in got for i, k in enumerate(picked)) / len(picked)
+            every.append(hits)
+            assert hits >= 0.95, (kind, place, hits)
+    assert sum(every) / len(every) >= 0.99
+
+
+def test_leaks_against_brute_force():
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    rng = random.Random(6)
+    items = [(i, " ".join(f"w{rng.randint(0, 60)}" for _ in range(15))) for i in range(12)]
+    index, docs, want = leaks.WindowIndex(items), [], set()
+    for d in range(60):
+        w = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(len(w))] = f"w{rng.randint(0, 80)}"
+        docs.append([index.vocab.get(x, 0) for x in ["zz", *w, "zz"]])
+    for d, ids in enumerate(docs):
+        for k in range(len(index.rows)):
+            if any(distance(index.rows[k].tolist(), ids[p : p + n]) <= 1 for p in range(len(ids)) for n in (12, 13, 14) if p + n <= len(ids)):
+                want |= {(d, int(o)) for o in index.owner[index.owned[k] : index.owned[k + 1]]}
+    doc, _, item, _ = index.search(docs)
+    got = set(zip(doc.tolist(), item.tolist()))
+    assert got <= want and len(want) > 20 and len(got) >= 0.95 * len(want)
+
+
 # ---------------------------------------------------------------- similar
 def test_sketches_reach_their_recall():
     rng = random.Random(1)
