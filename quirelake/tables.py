@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,31 +15,54 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def units(df: DataFrame, enough: int) -> int:
+    """How many tasks a scan can be divided into, counted up to about ``enough``: its files or, if these are few, row groups.
+
+    The footers of up to eight files are read; where that fails each file counts as one.
+    """
+    files = df._jdf.inputFiles()
+    n = len(files)
+    if n == 0 or n >= enough:
+        return n
+    groups = []
+    for i in range(min(n, 8)):
+        try:
+            system, path = fs.FileSystem.from_uri(unquote(files[i]).replace("file:///", "/"))
+            with system.open_input_file(path) as source:
+                groups.append(max(1, pq.ParquetFile(source).metadata.num_row_groups))
+        except Exception:
+            groups.append(1)
+    return n * sum(groups) // len(groups)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over at least as many partitions as there are cores, for costly work on each row.
 
-    Files of one row group give one task each; only where these are fewer than half the cores are rows moved.
+    A row group can't be divided among tasks. Only where files and row groups are fewer than half the cores are rows moved.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) * 2 > cores:
-        return df
-    return df.repartition(cores)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if units(df, cores) * 2 > cores else df.repartition(cores)
+
+
+def _apart(df: DataFrame, key: str) -> DataFrame:
+    """With a column ``_lone`` that tells rows with a null key apart."""
+    return df.withColumn("_lone", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
 
 
 def latest(df: DataFrame, key: str, when: str, *values: str) -> DataFrame:
     """One row for each ``key``: the values of the row with the latest ``when``; ties give the greatest values.
 
     The maximum is taken before and after the shuffle, so a key that holds many rows is no hot group. A null ``when``
-    counts as earliest. Rows with a null key are kept apart from each other nowhere: they form one record.
+    counts as earliest. Rows with a null key are all kept.
     """
     held = F.max(F.struct(F.col(when).alias("_w"), *[F.col(v) for v in values]))
-    return df.groupBy(key).agg(held.alias("_m")).select(key, *[F.col("_m")[v].alias(v) for v in values])
+    return _apart(df, key).groupBy(key, "_lone").agg(held.alias("_m")).select(key, *[F.col("_m")[v].alias(v) for v in values])
 
 
 def latest_result(df: DataFrame, key: str, when: str, result: str) -> DataFrame:
     """As ``latest`` for one array or struct column that ``max`` could not order cheaply: ``max_by`` its time."""
-    return df.groupBy(key).agg(F.max_by(result, F.coalesce(F.col(when), F.lit("0001-01-01").cast("timestamp_ntz"))).alias(result))
+    newest = F.max_by(result, F.coalesce(F.col(when), F.lit("0001-01-01").cast("timestamp_ntz")))
+    return _apart(df, key).groupBy(key, "_lone").agg(newest.alias(result)).drop("_lone")
 
 
 def text_key(column: str) -> Column:
@@ -43,8 +70,15 @@ def text_key(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-#: Repeated keys up to this many rows may be broadcast; beyond it the same plan runs as a shuffled join.
-BROADCAST_KEYS = 200_000
+#: Rows and bytes that may be broadcast; beyond either the same plan runs as a shuffled join.
+BROADCAST_KEYS, BROADCAST_BYTES = 200_000, 8 << 20
+
+
+def few(keys: DataFrame) -> tuple[DataFrame, int]:
+    """A materialised table marked for broadcast if its measured rows and bytes allow it, and its number of rows."""
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in keys.columns), F.lit(16))
+    n, held = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return (F.broadcast(keys) if n <= BROADCAST_KEYS and held <= BROADCAST_BYTES else keys), n
 
 
 def latest_rows(df: DataFrame, key: str, when: str) -> DataFrame:
@@ -52,15 +86,14 @@ def latest_rows(df: DataFrame, key: str, when: str) -> DataFrame:
 
     The repeated keys are found on the key column alone and written to the shared folder. Only their rows are shuffled:
     the one with the latest ``when`` stays, ties going to the greatest values. Rows with a null key are all kept.
-    The repeated keys are broadcast only when they are at most ``BROADCAST_KEYS``.
+    The repeated keys are broadcast only where ``few`` allows it.
     """
     from quirelake.session import materialised
 
     repeated = materialised(df.select(key).filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key), "repeated")
-    n = repeated.count()
+    keys, n = few(repeated)
     if n == 0:
         return df
-    keys = F.broadcast(repeated) if n <= BROADCAST_KEYS else repeated
     rest = [c for c in df.columns if c not in (key, when)]
     once = df.join(keys, key, "left_anti").select(df.columns)
     again = latest(df.join(keys, key, "left_semi"), key, when, when, *rest) if not _unordered(df) else _by_time(df.join(keys, key, "left_semi"), key, when)

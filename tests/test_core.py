@@ -11,6 +11,7 @@ from quirelake.operators import checks, inventory, rules, threads, topics, vecto
 from quirelake.sources import files, listing
 from quirelake.sources import tables as sources
 from quirelake.streaming import ingest
+from quirelake import tables
 from quirelake.tables import latest_rows
 
 
@@ -178,3 +179,39 @@ def test_nested_clusters_divide_every_part_above_leaf(spark):
     df = spark.createDataFrame([(k, [rng.random() for _ in range(4)]) for k in range(900)], "id long, v array<double>")
     sizes = [r["count"] for r in topics.nested_clusters(df, "id", "v", leaf=8).groupBy("topic_id").count().collect()]
     assert sum(sizes) == 900 and len(sizes) > 64 and max(sizes) <= 10
+
+
+def test_rows_with_a_null_key_are_all_kept(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 1, "b"), (5, 1, "c"), (5, 2, "d")], "k long, w long, v string")
+    assert sorted(r.v for r in tables.latest(df, "k", "w", "v").collect()) == ["a", "b", "d"]
+    when = df.withColumn("w", F.timestamp_seconds("w").cast("timestamp_ntz"))
+    assert sorted(r.v for r in tables.latest_result(when, "k", "w", "v").collect()) == ["a", "b", "d"] and sorted(r.v for r in tables.latest_rows(when, "k", "w").collect()) == ["a", "b", "d"]
+
+
+def test_scans_are_spread_by_row_groups(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"a": list(range(1000))}), f"{tmp_path}/one.parquet")
+    pq.write_table(pa.table({"a": list(range(1000))}), f"{tmp_path}/many.parquet", row_group_size=10)
+    one, many = spark.read.parquet(f"{tmp_path}/one.parquet"), spark.read.parquet(f"{tmp_path}/many.parquet")
+    assert tables.units(one, 1000) == 1 and tables.units(many, 1000) == 100
+    assert tables.spread(many) is many and tables.spread(one) is not one
+
+
+def test_tables_too_large_by_bytes_are_not_broadcast(spark, monkeypatch):
+    keys = spark.createDataFrame([("x" * 100,)] * 50, "k string")
+    assert tables.few(keys)[0] is not keys and tables.few(keys)[1] == 50
+    monkeypatch.setattr(tables, "BROADCAST_BYTES", 1000)
+    assert tables.few(keys)[0] is keys
+
+
+def test_what_was_written_can_be_cleared(spark):
+    import os
+
+    from quirelake import session
+
+    path = session.materialised(spark.range(3), "some").inputFiles()[0].replace("file://", "")
+    assert os.path.exists(path)
+    session.clear(spark)
+    assert not os.path.exists(path)
