@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.session import materialised
-from quirelake.tables import BROADCAST_KEYS, latest_rows, spread, table
+from quirelake.tables import few, latest_rows, spread, table
 
 WORD = re.compile(r"[^\W_]+")
 #: Words of a shingle, least similarity and least words of a text where a caller names none.
@@ -159,10 +159,6 @@ def _shingle_sets(docs: DataFrame, shingle: int, least_words: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, shingles array<long>")
 
 
-def _few(keys: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(keys) if n <= BROADCAST_KEYS else keys
-
-
 def _every_two(rows: DataFrame) -> DataFrame:
     """(a, b), a < b: every two values of a group, from (g, v, n) rows with the group's size. Large groups are salted."""
     slices = F.ceil(F.col("n") / SLICE)
@@ -269,12 +265,12 @@ def verified(docs: DataFrame, stars: DataFrame, shingle: int, least_words: int,
     """
     kind = dict(stars.dtypes)["rep"]
     ids = stars.select(F.col("rep").alias("id"))
-    sets = _shingle_sets(docs.join(_few(ids, ids.count()), "id", "left_semi"), shingle, least_words).withColumnRenamed("id", "rep")
+    sets = _shingle_sets(docs.join(few(ids)[0], "id", "left_semi"), shingle, least_words).withColumnRenamed("id", "rep")
     flat = stars.select("rep", "size", F.explode("hubs").alias("hub"))
     load = flat.groupBy("hub").agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_w"))
     load = load.select("hub", F.greatest(F.ceil(F.col("_n") / SLICE), F.ceil(F.col("_w") / SLICE_SHINGLES)).alias("_slices"))
     large = materialised(load.filter("_slices > 1"), "large")
-    cut = flat.select("rep", "hub").join(_few(large, large.count()), "hub", "left").withColumn("_slices", F.coalesce("_slices", F.lit(1).cast("long")))
+    cut = flat.select("rep", "hub").join(few(large)[0], "hub", "left").withColumn("_slices", F.coalesce("_slices", F.lit(1).cast("long")))
     own = F.pmod(F.xxhash64("rep"), F.col("_slices"))
     cut = cut.withColumn("own", own).withColumn("_t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1)))
     blocks = cut.select("rep", "hub", F.least("own", "_t").alias("s1"), F.greatest("own", "_t").alias("s2"), (F.col("own") > F.col("_t")).alias("second"))
@@ -296,11 +292,11 @@ class Links:
         sk = materialised(sketches(docs, shingle, least_words, bands, rows), "sketches")
         reps = materialised(sk.groupBy("set_a", "set_b").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.min("size").alias("size"), F.min_by("bands", "id").alias("bands")), "representatives")
         shared = materialised(reps.filter("n > 1").select("set_a", "set_b", "rep", "n"), "shared")
-        self.copies = sk.select("id", "set_a", "set_b", "same").join(_few(shared, shared.count()), ["set_a", "set_b"]).select("id", "rep", "n", "same")
+        self.copies = sk.select("id", "set_a", "set_b", "same").join(few(shared)[0], ["set_a", "set_b"]).select("id", "rep", "n", "same")
         places = reps.select("rep", "size", F.explode("bands").alias("k"))
         least = F.min(F.struct(F.xxhash64("rep").alias("h"), F.col("rep").alias("hub")))
         hubs = materialised(places.groupBy("k").agg(least.alias("_m"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("k", "_m.hub"), "hubs")
-        near = places.join(_few(hubs, hubs.count()), "k")
+        near = places.join(few(hubs)[0], "k")
         # A record has at most as many hubs as bands, so this list is bounded.
         stars = materialised(near.groupBy("rep").agg(F.min("size").alias("size"), F.collect_set("hub").alias("hubs")), "stars")
         self.links = materialised(verified(docs, stars, shingle, least_words, similarity), "links")
