@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,16 +25,20 @@ from quirelake.tables import latest_rows, spread, table, text_key
 
 #: Hash buckets of the pairs of characters: the size of the learned table, whatever the corpus.
 BUCKETS = 1 << 18
-#: Rounds of estimation; weight of a field's shares against a source's own; sources with shares of their own.
-ROUNDS, SHRINK, SOURCES = 6, 20.0, 20_000
+#: Hash buckets of whole units, and least length of a unit that is known as a whole.
+UNITS, LEAST_LENGTH = 1 << 20, 4
+#: Rounds of estimation; weight of a field's shares against a source's own.
+ROUNDS, SHRINK = 6, 20.0
 #: Share of what a unit added to the counts that is taken out before it is judged itself.
 OWN = 0.5
 #: Least share of a chain in a field.
 LEAST_SHARE = 1e-3
-#: Different units that must speak for a chain in a field before it is used there.
+#: Units of different texts or sources that must speak for a chain in a field before it is used there.
 LEAST_TYPES = 8
 #: Weight and size of what is unseen after a character.
 UNSEEN_WEIGHT, UNSEEN = 0.5, 1e-4
+#: Bytes of the sources' shares that are sent to the executors; more are joined to the rows.
+SENT_BYTES = 16 << 20
 LOST = "�"
 # Encodings that texts are wrongly decoded with, and (true, wrong) encodings besides UTF-8.
 _WRONG = ["cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1251", "koi8-r", "cp1250"]
@@ -75,6 +80,8 @@ def undo(text: str, chain: int) -> str | None:
 
 
 _UNFIT = re.compile("[\x00-\x1f\x7f-\x9f\ue000-\uf8ff\ufffe\uffff]")
+# A mark that stands on no letter was no text either.
+_BARE_MARK = regex.compile(r"(?<![\p{L}\p{M}\p{N}])\p{M}")
 
 
 def _raw(text: str, wrong: str) -> bytes | None:
@@ -103,7 +110,7 @@ def candidates(unit: str) -> list[tuple[int, str]]:
                 t = t.translate(_to_bytes(wrong)).encode("latin-1").decode(true)
         except UnicodeError:
             continue
-        if t not in seen and not _UNFIT.search(t):
+        if t not in seen and not _UNFIT.search(t) and not _BARE_MARK.search(t):
             seen.add(t)
             out.append((chain, t))
     return out
@@ -119,23 +126,35 @@ def _pairs(text: str) -> list[tuple[str, str]]:
     return [(a, b) for a, b in zip(t, t[1:]) if a > "\x7f" or b > "\x7f"]
 
 
+def _whole(unit: str) -> int:
+    return xxhash.xxh32_intdigest(unit.encode("utf-8", "surrogatepass")) % UNITS
+
+
 class Model:
-    """Counts of pairs and of their first characters, in buckets, and the chains' log shares for each (field, source)."""
+    """Counts of pairs, of their first characters and of whole units, in buckets, and the chains' log shares.
 
-    def __init__(self, pairs: np.ndarray, firsts: np.ndarray, shares: dict[tuple[str, str], np.ndarray]):
-        self.pairs, self.firsts, self.shares = pairs, firsts, shares
+    ``shares`` holds those of each field (source "") and, where they are few enough to be sent, of each source; else
+    ``own`` is the table of the sources' shares, which is joined to the rows.
+    """
+
+    def __init__(self, pairs: np.ndarray, firsts: np.ndarray, units: np.ndarray, shares: dict[tuple[str, str], np.ndarray], own: DataFrame | None = None):
+        self.pairs, self.firsts, self.units, self.shares, self.own = pairs, firsts, units, shares, own
         self.logs: dict[tuple[str, str], float] = {}
         self.counts: dict[tuple[str, str], tuple[float, float]] = {}
 
     def __getstate__(self):
-        return self.pairs, self.firsts, self.shares
+        return self.pairs, self.firsts, self.units, self.shares
 
     def __setstate__(self, state):
         self.__init__(*state)
 
+    def known(self, text: str, without: float = 0.0) -> float:
+        """How well a clean text is known as a whole: the log of its count."""
+        return math.log1p(max(float(self.units[_whole(text)]) - without, 0.0)) if len(text) >= LEAST_LENGTH else 0.0
+
     def fit(self, text: str) -> float:
-        """Log-likelihood of a clean text: each character after the one before it, where one is beyond ASCII."""
-        logs, out = self.logs, 0.0
+        """Log-likelihood of a clean text: each character after the one before it, where one is beyond ASCII, and the whole."""
+        logs, out = self.logs, self.known(text)
         for pair in _pairs(text):
             got = logs.get(pair)
             if got is None:
@@ -148,10 +167,8 @@ class Model:
 
     def fit_without(self, text: str, n: float) -> float:
         """As ``fit``, without what ``n`` occurrences of the text itself add to the counts."""
-        pairs = _pairs(text)
-        own = Counter(pairs)
-        out = 0.0
-        for pair, k in own.items():
+        out = self.known(text, n)
+        for pair, k in Counter(_pairs(text)).items():
             got = self.counts.get(pair)
             if got is None:
                 if len(self.counts) > 500_000:
@@ -161,8 +178,8 @@ class Model:
             out += k * math.log((seen + UNSEEN_WEIGHT * UNSEEN) / (max(seen, m) + UNSEEN_WEIGHT))
         return out
 
-    def prior(self, field: str, source: str) -> np.ndarray:
-        return self.shares.get((field, source), self.shares.get((field, ""), _START))
+    def prior(self, field: str, source: str, own: np.ndarray | None = None) -> np.ndarray:
+        return own if own is not None else self.shares.get((field, source), self.shares.get((field, ""), _START))
 
     def fits(self, some: list[tuple[int, str]]) -> list[float]:
         return [self.fit(t) for _, t in some]
@@ -195,40 +212,41 @@ def _collected(parts):
 
 
 def _expected(model, first: bool):
-    """One E-step over units: expected counts of pairs, of first characters and of chains."""
+    """One E-step over units: expected counts of pairs, first characters, whole units and chains, and who speaks for a chain.
+
+    Every row adds its own share, so the sums are the same in whatever order and partitions the rows come.
+    """
 
     def run(parts):
         m = model.value
         pairs: dict[tuple, float] = defaultdict(float)
+        whole: dict[int, float] = defaultdict(float)
         chains: dict[tuple, float] = defaultdict(float)
-        held: dict[tuple, tuple] = {}
-
-        def settle() -> None:
-            for (field, unit), (some, _, weights, total) in held.items():
-                for (chain, text), w in zip(some, weights):
-                    if chain and w > 0.5 * total:
-                        # Every chain of the same length and true encoding that explains the unit alike has its support.
-                        for other in range(1, len(CHAINS)):
-                            if other == chain or (len(CHAINS[other]) == len(CHAINS[chain]) and CHAINS[other][0][0] == CHAINS[chain][0][0] and undo(unit, other) == text):
-                                chains["d", field, "", other] += 1
-                    if w > 1e-4:
-                        for pair in _pairs(text):
-                            pairs[pair] += w
-            held.clear()
+        types: set[tuple] = set()
+        held: dict[str, tuple] = {}
+
+        def rows():
+            hashed: dict[tuple, float] = defaultdict(float)
+            for (a, b), v in pairs.items():
+                hashed["p", _bucket(a, b)] += v
+                hashed["f", _bucket(a, "")] += v
+            out = [(kind, "", "", k, 0, v) for (kind, k), v in hashed.items()] + [("u", "", "", k, 0, v) for k, v in whole.items()]
+            out += [("c", field, source, k, 0, v) for (field, source, k), v in chains.items()] + [("d", field, "", k, t, 1.0) for field, k, t in types]
+            for kept in (pairs, whole, chains, types):
+                kept.clear()
+            return pd.DataFrame(out, columns=["kind", "field", "source", "k", "t", "v"])
 
         for part in parts:
-            for field, source, unit, n, total in zip(part["field"], part["source"], part["unit"], part["n"], part["total"], strict=True):
+            for field, source, unit, n, total, own in zip(part["field"], part["source"], part["unit"], part["n"], part["total"], part["prior"], strict=True):
                 if LOST in unit:
                     continue
-                got = held.get((field, unit))
+                got = held.get(unit)
                 if got is None:
                     if len(held) > 50_000:
-                        settle()
+                        held.clear()
                     some = candidates(unit)
-                    # What a unit itself added to the counts doesn't speak for it.
-                    fits = [] if first or len(some) == 1 else [m.fit_without(t, OWN * total) for _, t in some]
-                    got = held[field, unit] = (some, fits, [0.0] * len(some), total)
-                some, fits, weights, _ = got
+                    got = held[unit] = (some, [_pairs(t) for _, t in some], {}, {})
+                some, made, fitted, alike = got
                 if len(some) == 1:
                     p = [1.0]
                 elif first:
@@ -238,49 +256,71 @@ def _expected(model, first: bool):
                     p[0] = 0.5
                     p[at] += 0.5
                 else:
-                    p = m.posterior(some, fits, m.prior(field, source))
+                    # What a unit itself added to the counts doesn't speak for it.
+                    if total not in fitted:
+                        fitted[total] = [m.fit_without(t, OWN * total) for _, t in some]
+                    p = m.posterior(some, fitted[total], m.prior(field, source, own))
                 for i, x in enumerate(p):
                     if x > 1e-4:
-                        chains["c", field, source, some[i][0]] += n * x
-                        weights[i] += n * x
-        settle()
-        hashed: dict[tuple, float] = defaultdict(float)
-        for (a, b), v in pairs.items():
-            hashed["p", _bucket(a, b)] += v
-            hashed["f", _bucket(a, "")] += v
-        yield pd.DataFrame([(kind, "", "", k, v) for (kind, k), v in hashed.items()] + [(*k, v) for k, v in chains.items()], columns=["kind", "field", "source", "k", "v"])
+                        chain, text = some[i]
+                        chains[field, source, chain] += n * x
+                        if len(text) >= LEAST_LENGTH:
+                            whole[_whole(text)] += n * x
+                        for pair in made[i]:
+                            pairs[pair] += n * x
+                        if chain and x > 0.5:
+                            speaks = xxhash.xxh3_64_intdigest(f"{source}\x00{unit}".encode("utf-8", "surrogatepass")) >> 1
+                            # Every chain of the same length and true encoding that explains the unit alike has its support.
+                            if chain not in alike:
+                                alike[chain] = [c for c in range(1, len(CHAINS)) if c == chain or (len(CHAINS[c]) == len(CHAINS[chain]) and CHAINS[c][0][0] == CHAINS[chain][0][0] and undo(unit, c) == text)]
+                            types.update((field, c, speaks) for c in alike[chain])
+            if len(pairs) + len(whole) + len(chains) + len(types) > 1_000_000:
+                yield rows()
+        yield rows()
 
     return run
 
 
+def _with_priors(df: DataFrame, model: Model) -> DataFrame:
+    """With a column ``prior``: the log shares of the row's source, null where the model itself holds them."""
+    if model.own is None:
+        return df.withColumn("prior", F.lit(None).cast("array<double>"))
+    return df.join(model.own, ["field", "source"], "left")
+
+
 def learn(texts: DataFrame) -> Model:
     """The model of (field, source, path, text) rows: all of them count."""
     spark = texts.sparkSession
     units = spread(texts).mapInPandas(_collected, "field string, source string, unit string, n long")
     units = units.groupBy("field", "source", "unit").agg(F.sum("n").alias("n")).repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "field", "unit")
     units = materialised(units.withColumn("total", F.sum("n").over(Window.partitionBy("field", "unit"))), "units")
-    model = Model(np.zeros(BUCKETS), np.zeros(BUCKETS), {})
+    model = Model(np.zeros(BUCKETS), np.zeros(BUCKETS), np.zeros(UNITS, dtype=np.float32), {})
     for turn in range(ROUNDS):
         sent = spark.sparkContext.broadcast(model)
-        got = units.mapInPandas(_expected(sent, turn == 0), "kind string, field string, source string, k long, v double")
-        got = materialised(got.groupBy("kind", "field", "source", "k").agg(F.sum("v").alias("v")), "expected")
+        got = _with_priors(units, model).mapInPandas(_expected(sent, turn == 0), "kind string, field string, source string, k long, t long, v double")
+        got = materialised(got.groupBy("kind", "field", "source", "k", "t").agg(F.sum("v").alias("v")), "expected")
         tables = {}
-        for kind in "pf":
-            rows = got.filter(F.col("kind") == kind).select("k", "v").toPandas()
-            tables[kind] = np.zeros(BUCKETS)
+        for kind, size in (("p", BUCKETS), ("f", BUCKETS), ("u", UNITS)):
+            rows = got.filter(F.col("kind") == kind).select("k", F.col("v").cast("float")).toPandas()
+            tables[kind] = np.zeros(size, dtype=np.float32 if kind == "u" else np.float64)
             tables[kind][rows["k"].to_numpy(dtype=np.int64)] = rows["v"].to_numpy()
-        model = Model(tables["p"], tables["f"], _shares(got.filter("kind = 'c'"), got.filter("kind = 'd'"), turn > 2) if turn > 1 else {})
+        shares, own = _shares(got.filter("kind = 'c'"), got.filter("kind = 'd'"), turn > 2) if turn > 1 else ({}, None)
+        model = Model(tables["p"], tables["f"], tables["u"], shares, own)
         sent.unpersist()
     return model
 
 
-def _shares(counts: DataFrame, types: DataFrame, strict: bool) -> dict[tuple[str, str], np.ndarray]:
-    """Log shares of the chains for each field and, shrunk towards it, for each of the largest sources."""
+def _shares(counts: DataFrame, types: DataFrame, strict: bool) -> tuple[dict[tuple[str, str], np.ndarray], DataFrame | None]:
+    """Log shares of the chains for each field and, shrunk towards it, for each source: in a dictionary, or beyond the
+    size that may be sent as a table (field, source, prior).
+
+    Sums are rounded before use, so that the order in which they were added doesn't show.
+    """
     k = len(CHAINS)
     out = {}
-    enough = {(r.field, r.k) for r in types.groupBy("field", "k").agg(F.sum("v").alias("v")).filter(F.col("v") >= LEAST_TYPES).collect()}
+    enough = {(r.field, r.k) for r in types.groupBy("field", "k").agg(F.count_distinct("t").alias("v")).filter(F.col("v") >= LEAST_TYPES).collect()}
     whole = {}
-    for field, chain, v in counts.groupBy("field", "k").agg(F.sum("v")).collect():
+    for field, chain, v in counts.groupBy("field", "k").agg(F.round(F.sum("v"), 6)).collect():
         whole.setdefault(field, np.full(k, 0.05))[chain] += v
     for field, v in whole.items():
         v = np.maximum(v / v.sum(), LEAST_SHARE)
@@ -288,14 +328,24 @@ def _shares(counts: DataFrame, types: DataFrame, strict: bool) -> dict[tuple[str
             v = np.array([x if not c or (field, c) in enough else 1e-12 for c, x in enumerate(v)])
         whole[field] = v / v.sum()
         out[field, ""] = np.log(whole[field])
-    largest = counts.groupBy("field", "source").agg(F.sum("v").alias("w")).orderBy(F.desc("w"), "field", "source").limit(SOURCES)
-    own: dict[tuple, np.ndarray] = {}
-    for field, source, chain, v in counts.join(largest, ["field", "source"]).select("field", "source", "k", "v").collect():
-        own.setdefault((field, source), np.zeros(k))[chain] += v
-    for (field, source), v in own.items():
-        v = np.where(whole[field] > 1e-9, v, 0.0)
-        out[field, source] = np.log((v + SHRINK * whole[field]) / (v.sum() + SHRINK))
-    return out
+
+    def logs(parts):
+        for part in parts:
+            rows = []
+            for field, entries in zip(part["field"], part["entries"], strict=True):
+                v = np.zeros(k)
+                for e in entries:
+                    v[e["k"]] += e["v"]
+                v = np.where(whole[field] > 1e-9, v, 0.0)
+                rows.append(np.log((v + SHRINK * whole[field]) / (v.sum() + SHRINK)))
+            yield pd.DataFrame({"field": part["field"], "source": part["source"], "prior": rows})
+
+    own = counts.groupBy("field", "source").agg(F.collect_list(F.struct("k", F.round("v", 6).alias("v"))).alias("entries"))
+    own = materialised(own.mapInPandas(logs, "field string, source string, prior array<double>"), "shares")
+    n = own.count()
+    if n * k * 8 > SENT_BYTES:
+        return out, own
+    return out | {(r.field, r.source): np.array(r.prior) for r in own.collect()}, None
 
 
 class Repairer:
@@ -304,7 +354,7 @@ class Repairer:
     def __init__(self, model: Model):
         self.model, self.known = model, {}
 
-    def judge(self, unit: str, field: str, source: str) -> tuple[list, list, int]:
+    def judge(self, unit: str, prior: np.ndarray) -> tuple[list, list, int]:
         """(candidates, their fits, number of the likeliest) under the source's shares; digits count alike."""
         unit = _DIGITS.sub("0", unit)
         got = self.known.get(unit)
@@ -318,19 +368,19 @@ class Repairer:
         some, fits = got
         if len(some) == 1:
             return some, fits, 0
-        p = self.model.posterior(some, fits, self.model.prior(field, source))
+        p = self.model.posterior(some, fits, prior)
         return some, fits, p.index(max(p))
 
-    def repair(self, text: str, field: str, source: str, path: bool) -> tuple[str, bool, bool]:
+    def repair(self, text: str, field: str, source: str, path: bool, own: np.ndarray | None = None) -> tuple[str, bool, bool]:
         """(restored text, whether any of it was wrongly decoded, whether some of it is lost)."""
-        lost = LOST in text
+        lost, shares = LOST in text, self.model.prior(field, source, own)
         spans = [(a, b) for a, b in _units(text, path) if LOST not in text[a:b]]
-        judged = [self.judge(text[a:b], field, source) for a, b in spans]
+        judged = [self.judge(text[a:b], shares) for a, b in spans]
         best = [x[2] for x in judged]
         used = [x[0][i][0] for x, i in zip(judged, best) if i]
         if used and not path and len(used) < len(judged):
             # The record's own chains speak for its doubtful units.
-            prior = np.logaddexp(self.model.prior(field, source) + np.log(0.5), np.log(np.bincount(used, minlength=len(CHAINS)) / len(used) * 0.5 + 1e-12))
+            prior = np.logaddexp(shares + np.log(0.5), np.log(np.bincount(used, minlength=len(CHAINS)) / len(used) * 0.5 + 1e-12))
             for k, (some, fits, i) in enumerate(judged):
                 if not i and len(some) > 1:
                     p = self.model.posterior(some, fits, prior)
@@ -352,19 +402,21 @@ def restore(texts: DataFrame, key: str) -> DataFrame:
     ``restored`` is null unless the text was wrongly decoded; ``lost`` marks replacement characters, which stay.
     """
     spark = texts.sparkSession
-    texts = texts.filter(F.col("text").isNotNull())
-    sent = spark.sparkContext.broadcast(learn(texts.select("field", "source", "path", "text")))
+    texts = texts.filter(F.col("text").isNotNull()).withColumn("source", F.coalesce("source", F.lit("")))
+    model = learn(texts.select("field", "source", "path", "text"))
+    sent = spark.sparkContext.broadcast(model)
 
     def run(parts):
         fixer = Repairer(sent.value)
         for part in parts:
             rows = []
-            for k, field, source, path, text in zip(part[key], part["field"], part["source"], part["path"], part["text"], strict=True):
-                new, garbled, lost = (text, False, False) if text.isascii() else fixer.repair(text, field, source or "", path)
+            for k, field, source, path, text, own in zip(part[key], part["field"], part["source"], part["path"], part["text"], part["prior"], strict=True):
+                new, garbled, lost = (text, False, False) if text.isascii() else fixer.repair(text, field, source, path, own)
                 rows.append((k, field, garbled, lost, new if garbled else None))
             yield pd.DataFrame(rows, columns=[key, "field", "garbled", "lost", "restored"])
 
-    return spread(texts.select(key, "field", "source", "path", "text")).mapInPandas(run, f"{key} {dict(texts.dtypes)[key]}, field string, garbled boolean, lost boolean, restored string")
+    rows = _with_priors(spread(texts.select(key, "field", "source", "path", "text")), model)
+    return rows.mapInPandas(run, f"{key} {dict(texts.dtypes)[key]}, field string, garbled boolean, lost boolean, restored string")
 
 
 def p6_restored(spark: SparkSession, folder: str) -> DataFrame:

@@ -197,6 +197,20 @@ def test_garbled(spark):
     assert garbled.restore(df.limit(0), "id").count() == 0
 
 
+def test_garbled_is_the_same_with_joined_shares_and_in_any_order(spark, monkeypatch):
+    clean = ["Prüfung für Köln", "señora año niño", "façade café résumé", "Gäste über Grüße", "théâtre à l'été", "Übersicht lösen", "der Satz 'Íñigo"] * 20
+    rows = [(i, f"s{i % 9}" if i % 7 else None, t) for i, t in enumerate([*clean, *(t.encode().decode("cp850") for t in clean[:12])])]
+
+    def found(rows, n):
+        df = spark.createDataFrame(rows, "id long, source string, text string").repartition(n).select("id", F.lit("f").alias("field"), "source", F.lit(False).alias("path"), "text")
+        return {(r.id, r.restored) for r in garbled.restore(df, "id").collect() if r.garbled}
+
+    first = found(rows, 1)
+    assert {i for i, _ in first} == set(range(140, 152)) and found(rows[::-1], 3) == first
+    monkeypatch.setattr(garbled, "SENT_BYTES", 0)
+    assert found(rows, 2) == first
+
+
 def test_garbled_takes_three_rounds_under_the_strict_shares(spark, monkeypatch):
     rounds, shares = [], garbled._shares
     monkeypatch.setattr(garbled, "_shares", lambda counts, types, strict: rounds.append(strict) or shares(counts, types, strict))
