@@ -2,8 +2,9 @@
 
 The classifiers judge sentences. They are fitted on the labelled examples and scope notes, and on a bounded sample of
 the corpus with weak labels: from the words of a record's address path and section headings where they name an area,
-and from the classifiers' own sure judgements, round by round. A document has the areas that several of its sentences
-are sure about; the thresholds are calibrated on held-out examples.
+and from the classifiers' own sure judgements, round by round. A sentence is on every area whose probability reaches
+that area's threshold, calibrated on held-out examples; a document has the areas that several of its sentences are on.
+A fitted model can be kept and passed in again.
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 
 from quirelake.tables import latest_rows, spread, table, text_key
 
-#: Hash buckets of the n-grams; documents in the sample that weak labels are drawn from; rounds of weak labelling.
-BUCKETS, SAMPLE, ROUNDS = 1 << 17, 2000, 3
+#: Hash buckets of the n-grams; rounds of weak labelling.
+BUCKETS, ROUNDS = 1 << 17, 3
+#: Bounds of what is fitted on: documents whose whole texts weak labels are drawn from, sentences of these, labelled texts.
+SAMPLE, SENTENCES, EXAMPLES = 2000, 200_000, 50_000
 #: Sentences on an area that make a text about it, and their least share of the leading area's; most areas of a text.
 LEAST_SENTENCES, LEAST_SHARE, MOST = 2, 0.01, 3
 #: Judgements as sure as this become weak labels.
@@ -55,6 +58,18 @@ class Classifier:
         self.bias = np.full(len(codes), -3.0, dtype=np.float32)
         self.thresholds = np.full(len(codes), 0.5, dtype=np.float32)
 
+    def save(self, path: str) -> None:
+        """Keeps the classifiers in a file."""
+        with open(path, "wb") as out:
+            np.savez_compressed(out, codes=np.array(self.codes), weights=self.weights, bias=self.bias, thresholds=self.thresholds)
+
+    @classmethod
+    def load(cls, path: str) -> Classifier:
+        with np.load(path) as kept:
+            model = cls([str(c) for c in kept["codes"]])
+            model.weights, model.bias, model.thresholds = kept["weights"], kept["bias"], kept["thresholds"]
+        return model
+
     def scores(self, rows: list[np.ndarray]) -> np.ndarray:
         """Probabilities of sentences given by their features."""
         if not rows:
@@ -93,14 +108,26 @@ class Classifier:
 
 def weak_from_address(path: str | None, text: str, names: dict[str, set[str]]) -> str | None:
     """The one area whose title words stand in an address path or in a section heading, or None."""
-    heads = [line.strip("# \r") for line in text.split("\n")[:200] if line.lstrip().startswith("#") or (0 < len(line) < 40 and not line.rstrip().endswith((".", "?", "!")))]
+    heads = [line.strip("# \r") for line in text.split("\n") if line.lstrip().startswith("#") or (0 < len(line) < 40 and not line.rstrip().endswith((".", "?", "!")))]
     words = {w.lower() for w in _WORD.findall(" ".join([re.sub(r"[/\\_]", " ", path or ""), *heads]))}
     found = [code for code, own in names.items() if own & words]
     return found[0] if len(found) == 1 else None
 
 
-def train(examples: list[tuple[str, str]], areas: list[tuple[str, str, str]], sample: list[tuple[str | None, str]]) -> Classifier:
-    """The classifiers, from labelled (area, text), (area, title, scope) and sampled (path, text).
+def title_words(areas: list[tuple[str, str, str]]) -> dict[str, set[str]]:
+    """The words of each area's title that stand in no other's."""
+    own = Counter(w for _, title, _ in areas for w in {x.lower() for x in _WORD.findall(title or "")})
+    return {c: {w for w in (x.lower() for x in _WORD.findall(title or "")) if own[w] == 1 and len(w) > 3} for c, title, _ in areas}
+
+
+def weak_rows(path: str | None, text: str, names: dict[str, set[str]]) -> list[tuple[str | None, list[int]]]:
+    """(weak label, features) of a whole text's sentences."""
+    hint = weak_from_address(path, text, names)
+    return [(hint, f.tolist()) for s in sentences(text) if len(f := features(s)) >= 4]
+
+
+def train(examples: list[tuple[str, str]], areas: list[tuple[str, str, str]], sample: list[tuple[str | None, list[int]]]) -> Classifier:
+    """The classifiers, from labelled (area, text), (area, title, scope) and sampled sentences (weak label, features).
 
     Weak labels: sentences of a text whose path or headings name an area, if the classifiers don't disagree; sentences
     judged surely for one area; and sentences that no area's classifier finds anything in, as examples of none.
@@ -126,16 +153,8 @@ def train(examples: list[tuple[str, str]], areas: list[tuple[str, str, str]], sa
             if s:
                 add(features(s), at[code], TITLE_WEIGHT)
     held = [i for i in range(len(rows)) if i % 5 == 0]
-    own = Counter(w for _, title, _ in areas for w in {x.lower() for x in _WORD.findall(title or "")})
-    names = {c: {w for w in (x.lower() for x in _WORD.findall(title or "")) if own[w] == 1 and len(w) > 3} for c, title, _ in areas}
-    pool, hints = [], []
-    for path, text in sample:
-        hint = weak_from_address(path, text, names)
-        for s in sentences(text)[:400]:
-            f = features(s)
-            if len(f) >= 4:
-                pool.append(f)
-                hints.append(at[hint] if hint else -1)
+    pool = [np.array(f, dtype=np.int64) for _, f in sample]
+    hints = [at.get(hint, -1) for hint, _ in sample]
     hint_array = np.array(hints, dtype=np.int64)
     for turn in range(ROUNDS + 1):
         more_rows, more_labels, more_weight = list(rows), list(labels), list(weight)
@@ -183,7 +202,7 @@ def areas_of(model: Classifier, text: str, short: bool) -> list[str]:
     if not rows:
         return []
     p = model.scores(rows)
-    hit = (p >= model.thresholds) & (p >= p.max(axis=1, keepdims=True) - 1e-9)
+    hit = p >= model.thresholds
     count, mass = hit.sum(axis=0), (p * hit).sum(axis=0)
     lead = count.max()
     least = 1 if short else LEAST_SENTENCES
@@ -194,21 +213,48 @@ def areas_of(model: Classifier, text: str, short: bool) -> list[str]:
     return [model.codes[k] for k in sorted(good, key=lambda k: (-mass[k], model.codes[k]))[:MOST]]
 
 
-def subjects(df: DataFrame, key: str, text: str, fallback: str, path: str, examples: DataFrame, areas: DataFrame) -> DataFrame:
-    """(key, subject_code): one row for each record and area; records with neither text have none.
+def _records(df: DataFrame, key: str, text: str, fallback: str, path: str) -> DataFrame:
+    filled = F.col(text).isNotNull() & (F.col(text).rlike(r"\S"))
+    return df.select(F.col(key), F.when(filled, F.col(text)).otherwise(F.col(fallback)).alias("_text"), (~filled).alias("_short"), F.col(path).alias("_path")).filter(F.col("_text").isNotNull())
+
 
-    The sample is the ``SAMPLE`` records with the least hash of their key; everything else covers all records.
+def fit(df: DataFrame, key: str, text: str, fallback: str, path: str, examples: DataFrame, areas: DataFrame) -> Classifier | None:
+    """The classifiers for a table's records, None where there is neither an area nor an example.
+
+    Weak labels come from the whole texts of the ``SAMPLE`` records with the least hash of their key; of more than
+    ``SENTENCES`` sentences those with the least hash of their key and place are taken. Of more than ``EXAMPLES``
+    labelled texts those of the least number are taken. Only this fitting is bounded.
     """
-    spark = df.sparkSession
-    filled = F.col(text).isNotNull() & (F.col(text).rlike(r"\S"))
-    rows = df.select(F.col(key), F.when(filled, F.col(text)).otherwise(F.col(fallback)).alias("_text"), (~filled).alias("_short"), F.col(path).alias("_path")).filter(F.col("_text").isNotNull())
-    sample = rows.filter(~F.col("_short")).orderBy(F.xxhash64(F.col(key).cast("string")), F.col(key)).limit(SAMPLE).select("_path", F.substring("_text", 1, 20_000).alias("_text")).collect()
-    labelled = examples.filter("subject_code IS NOT NULL AND text IS NOT NULL").orderBy("example_id").limit(50_000).select("subject_code", "text").collect()
-    titles = areas.filter("subject_code IS NOT NULL").orderBy("subject_code").limit(5_000).select("subject_code", "subject_title", "scope_note").collect()
+    rows = _records(df, key, text, fallback, path)
+    labelled = examples.filter("subject_code IS NOT NULL AND text IS NOT NULL").orderBy("example_id").limit(EXAMPLES).select("subject_code", "text").collect()
+    # The areas are the answer's own vocabulary, which the caller names one by one.
+    titles = [tuple(r) for r in areas.filter("subject_code IS NOT NULL").orderBy("subject_code").select("subject_code", "subject_title", "scope_note").collect()]
     if not titles and not labelled:
+        return None
+    names = title_words(titles)
+
+    def run(parts):
+        for part in parts:
+            out = [(f"{k}", n, hint, f) for k, p, t in zip(part["_key"], part["_path"], part["_text"], strict=True) for n, (hint, f) in enumerate(weak_rows(p, t, names))]
+            yield pd.DataFrame(out, columns=["_key", "n", "hint", "f"])
+
+    sample = rows.filter(~F.col("_short")).orderBy(F.xxhash64(F.col(key).cast("string")), F.col(key)).limit(SAMPLE).select(F.col(key).cast("string").alias("_key"), "_path", "_text")
+    sample = sample.repartition(df.sparkSession.sparkContext.defaultParallelism).mapInPandas(run, "_key string, n long, hint string, f array<long>")
+    drawn = sample.orderBy(F.xxhash64("_key", "n"), "_key", "n").limit(SENTENCES).select("hint", "f").collect()
+    return train([tuple(r) for r in labelled], titles, [(r.hint, r.f) for r in drawn])
+
+
+def subjects(df: DataFrame, key: str, text: str, fallback: str, path: str, examples: DataFrame, areas: DataFrame, model: Classifier | None = None) -> DataFrame:
+    """(key, subject_code): one row for each record and area; records with neither text have none.
+
+    ``model``: classifiers kept from an earlier ``fit``; without them they are fitted first. All records are judged, on
+    their whole texts.
+    """
+    rows = _records(df, key, text, fallback, path)
+    model = model or fit(df, key, text, fallback, path, examples, areas)
+    if model is None:
         return rows.select(F.col(key), F.lit(None).cast("string").alias("subject_code")).limit(0)
-    model = train([tuple(r) for r in labelled], [tuple(r) for r in titles], [tuple(r) for r in sample])
-    sent = spark.sparkContext.broadcast(model)
+    sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(parts):
         m = sent.value

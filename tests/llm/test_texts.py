@@ -249,10 +249,26 @@ def test_subjects_on_held_out_sentences():
     terms = {c: ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(30)] for c in terms}
     noise = ["The registrar moved the brittle maps.", "Nobody recorded the count of boxes."]
     examples = [(c, say(c)) for c in terms for _ in range(20)]
-    sample = [(None, " ".join([say(c) for _ in range(6)] + noise)) for c in terms for _ in range(40)]
+    sample = [row for c in terms for _ in range(40) for row in subjects.weak_rows(None, " ".join([say(c) for _ in range(6)] + noise), {})]
     model = subjects.train(examples, [(c, c.title(), "") for c in terms], sample)
     right = 0
     for _ in range(60):
         c, d = rng.sample(list(terms), 2)
         right += subjects.areas_of(model, " ".join([say(c), noise[0], say(c), say(d), say(c), noise[1]]), False) == [c]
     assert right >= 54 and subjects.areas_of(model, noise[0], False) == [] and subjects.areas_of(model, "", True) == []
+
+
+def test_weak_rows_read_whole_texts_and_models_can_be_kept(tmp_path):
+    names = subjects.title_words([("law", "Law", ""), ("art", "Visual arts", ""), ("art2", "Modern arts", "")])
+    assert names == {"law": set(), "art": {"visual"}, "art2": {"modern"}}
+    text = "The clerk moved nine heavy boxes. " * 2000 + "\n# Visual\nThe mural met another easel there."
+    rows = subjects.weak_rows(None, text, names)
+    assert len(rows) == 2001 and {hint for hint, _ in rows} == {"art"} and rows[-1][1] == subjects.features("The mural met another easel there.").tolist()
+    model = subjects.Classifier(["a", "b"])
+    model.weights[:, 0], model.bias[:] = 1.0, 0.0
+    model.save(f"{tmp_path}/m")
+    again = subjects.Classifier.load(f"{tmp_path}/m")
+    assert again.codes == model.codes and (again.weights == model.weights).all()
+    both = subjects.Classifier(["a", "b"])
+    both.bias[:] = 2.0
+    assert subjects.areas_of(both, "One two three. Four five six.", False) == ["a", "b"]
