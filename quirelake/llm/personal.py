@@ -1,13 +1,17 @@
 """Personal information in free text: found, typed, and replaced by format-preserving keyed pseudonyms.
 
-Kinds: EMAIL, PHONE, ID_NUMBER, STREET_ADDRESS, PERSON. Names are recognised by given and family names that the corpus
-itself shows beside addresses in header lines and signatures; the rest by its form, checked against what merely looks
-alike. A placeholder is typed and keeps the value's form: its digits and letters go through a keyed Feistel network, so
-equal values stay linked across documents and distinct ones stay distinct.
+Kinds: EMAIL, PHONE, ID_NUMBER, STREET_ADDRESS, PERSON and, where asked for, DATE. Names are recognised by given and
+family names that the corpus itself shows beside addresses in header lines and signatures; the rest by its form, checked
+against what merely looks alike. What is found comes out with its placeholder: typed, and for numbers and dates in the
+value's own form. Their digits and letters go through a keyed Feistel network that stays among the valid numbers of
+their kind (or among the impossible ones), so equal values stay linked across documents and distinct ones stay distinct:
+a telephone number with or without its country code, trunk zero or extension, a date in whatever form. Names and
+addresses, which have no fixed form, get keyed tags of 128 bits.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import hmac
 import re
@@ -21,8 +25,10 @@ from quirelake.session import materialised
 from quirelake.tables import latest_rows, spread, table, text_key
 
 KINDS = ("EMAIL", "PHONE", "ID_NUMBER", "STREET_ADDRESS", "PERSON")
-#: Names and name endings kept of the learned lexicon, the most frequent first: its size whatever the corpus.
-MAX_GIVEN, MAX_FAMILY, MAX_ENDINGS = 50_000, 300_000, 5_000
+#: Bytes of the learned lexicon that are sent to the executors; a larger one is joined to the words of the texts.
+LEXICON_BYTES = 32 << 20
+#: The key of the registered queries; a real run passes its own secret.
+TEST_KEY = b"key of the registered query"
 #: Different families a given name must be seen with.
 LEAST_FAMILIES = 3
 
@@ -40,6 +46,7 @@ _AT = r"(?:\s?[\[({<]\s?(?:at|AT|At|@)\s?[\])}>]\s?|\s(?:AT|at)\s)"
 _DOT = r"(?:\s?[\[({<]\s?(?:dot|DOT|\.)\s?[\])}>]\s?|\s(?:DOT|dot)\s|\.)"
 _DOMAIN = re.compile(rf"[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(rf"(?<![\w.])[A-Za-z0-9][\w+%-]*(?:{_DOT}[\w+%-]+)*$")
+_JOINT = re.compile(rf"[\w+%-]{_DOT}$")
 _SPELT = re.compile(rf"(?<![\w.])[A-Za-z0-9][\w+%-]*(?:{_DOT}[\w+%-]+)*{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+")
 # Last parts that a spelt-out address may end in.
 _TOP = {"com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "example", "invalid", "test", "localhost", "io", "eu"}
@@ -58,6 +65,20 @@ _NINE = re.compile(r"(?<![\w.,/+-])\d{9}(?![\w/-]|[.,]\d)")
 _ID_CAPTION = re.compile(r"(?:uin|ssn|ss#|social security|soc\. sec|student|passport|licen[cs]e|matri(?:k|c)\w*|ausweis|passeport|pasaporte|personnel|employee|id|i\.d)\.?\s*(?:no|num(?:ber)?|nr|card|#)?\.?\s*[:#]?[\s>|:]*$", re.IGNORECASE)
 _NOT_PHONE = re.compile(r"(?:isbn|issn|carton|accession|series|shelf|shelves|order|box|folder|reels?|pallet|checksum|item|record group|disk|call number|version|v|crawl of|ms|fol|vols?|pp?|no|po-|\$|€|£|#)\.?:?\s*$", re.IGNORECASE)
 
+# Country codes of one and of two digits; all others have three.
+_CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
+_EXTENSION = re.compile(r"\s?(?:ext|x|Ext)\.?\s?(\d+)$")
+# Month names of dates.
+_MONTHS = "January February March April May June July August September October November December".split()
+_MONTH = "|".join([*_MONTHS, *(m[:3] for m in _MONTHS)])
+_DATES = [
+    re.compile(p)
+    for p in (
+        r"(?<![\w./-])(?P<y>\d{4})(?P<s>[-/.])(?P<m>\d{1,2})(?P=s)(?P<d>\d{1,2})(?![\w/-]|\.\d)", r"(?<![\w./-])(?P<m>\d{1,2})(?P<s>[-/.])(?P<d>\d{1,2})(?P=s)(?P<y>\d{4}|\d{2})(?![\w/-]|\.\d)",
+        rf"(?<!\w)(?P<d>\d{{1,2}})\.? (?P<mon>{_MONTH})\.?,? (?P<y>\d{{4}})(?!\w)", rf"(?<!\w)(?P<mon>{_MONTH})\.? (?P<d>\d{{1,2}}),? (?P<y>\d{{4}})(?!\w)",
+    )
+]
+
 # Kinds of streets, before or after their name.
 _AFTER = "Street|St|Avenue|Ave|Road|Rd|Drive|Dr|Lane|Ln|Court|Ct|Boulevard|Blvd|Terrace|Ter|Way|Place|Pl|Square|Sq|Parkway|Pkwy|Circle|Cir|Highway|Hwy|Trail|Trl|Close|Crescent|Row"
 _FRENCH = "rue|avenue|boulevard|bd|place|impasse|quai|chemin|allée|cours|route|square|passage"
@@ -121,28 +142,61 @@ class Lexicon:
         return w in self.family or (len(w) > 4 and w not in _COMMON and any(p[-4:] in self.endings for p in w.split("-") if len(p) > 4))
 
 
-def learn_names(texts: DataFrame) -> Lexicon:
-    """The lexicon of all texts (column ``text``). Its size is bounded by the documented limits."""
+def learn_names(texts: DataFrame) -> DataFrame:
+    """(kind, word): given names (g), family names (f) and endings of family names (e) of all texts (column ``text``)."""
     pairs = spread(texts).mapInPandas(_learned, "given string, family string, n long")
     pairs = materialised(pairs.groupBy("given", "family").agg(F.sum("n").alias("n")), "names")
-    given = pairs.groupBy("given").agg(F.count(F.lit(1)).alias("families"), F.sum("n").alias("n")).filter(F.col("families") >= LEAST_FAMILIES)
-    given = given.orderBy(F.desc("n"), "given").limit(MAX_GIVEN).select("given")
-    sure = pairs.join(F.broadcast(given), "given", "left_semi").groupBy("family").agg(F.sum("n").alias("n"))
-    family = sure.orderBy(F.desc("n"), "family").limit(MAX_FAMILY).select("family")
-    last = sure.select(F.explode(F.split("family", "-")).alias("p")).filter(F.length("p") > 4).groupBy(F.substring("p", -4, 4).alias("e")).agg(F.count(F.lit(1)).alias("n"))
-    endings = last.filter("n >= 3").orderBy(F.desc("n"), "e").limit(MAX_ENDINGS).select("e")
-    names = {r[0] for r in given.collect()} - _COMMON
-    return Lexicon(names, {r[0] for r in family.collect()} - names - _COMMON, {r[0] for r in endings.collect()})
+    given = materialised(pairs.groupBy("given").agg(F.count(F.lit(1)).alias("families")).filter(F.col("families") >= LEAST_FAMILIES).select("given"), "given")
+    sure = pairs.join(given, "given", "left_semi").select("family").distinct()
+    last = sure.select(F.explode(F.split("family", "-")).alias("p")).filter(F.length("p") > 4).groupBy(F.substring("p", -4, 4).alias("e")).agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
+    common = sorted(_COMMON)
+    named = given.filter(~F.col("given").isin(common))
+    family = sure.join(named, sure.family == named.given, "left_anti").filter(~F.col("family").isin(common))
+    rows = [df.select(F.lit(kind).alias("kind"), F.col(c).alias("word")) for kind, df, c in (("g", named, "given"), ("f", family, "family"), ("e", last, "e"))]
+    return materialised(rows[0].unionByName(rows[1]).unionByName(rows[2]), "lexicon")
+
+
+def lexicon(words: list) -> Lexicon:
+    """The lexicon of (kind, word) rows."""
+    held: dict[str, set[str]] = {"g": set(), "f": set(), "e": set()}
+    for kind, word in words:
+        held[kind].add(word)
+    return Lexicon(held["g"], held["f"], held["e"])
+
+
+def _asked(parts):
+    """(_n, kind, word): what a text's words could be in a lexicon."""
+    for part in parts:
+        out: set[tuple] = set()
+        for n, text in zip(part["_n"], part["text"], strict=True):
+            for w in set(_WORDS.findall(text or "")):
+                low = w.rstrip(".").lower()
+                out |= {(n, "g", low), (n, "f", low), *((n, "e", p[-4:]) for p in low.split("-") if len(p) > 4)}
+        yield pd.DataFrame(list(out), columns=["_n", "kind", "word"])
+
+
+def _with_names(texts: DataFrame, names: Lexicon | DataFrame | None) -> tuple[DataFrame, Lexicon | None]:
+    """The texts and the lexicon to send, or the texts with the part of the lexicon (``_known``) that each one needs."""
+    words = learn_names(texts.select("text")) if names is None else names
+    if isinstance(words, Lexicon):
+        return texts, words
+    size = words.agg(F.coalesce(F.sum(F.octet_length("word") + 64), F.lit(0))).first()[0]
+    if size <= LEXICON_BYTES:
+        return texts, lexicon(words.select("kind", "word").collect())
+    texts = materialised(texts.withColumn("_n", F.monotonically_increasing_id()), "texts")
+    asked = spread(texts.select("_n", "text")).mapInPandas(_asked, "_n long, kind string, word string")
+    known = asked.join(words, ["kind", "word"]).groupBy("_n").agg(F.collect_list(F.struct("kind", "word")).alias("_known"))
+    return texts.join(known, "_n", "left").drop("_n"), None
 
 
 class Finder:
     """Spans of personal information under a lexicon."""
 
-    def __init__(self, names: Lexicon):
-        self.names = names
+    def __init__(self, names: Lexicon, dates: bool = False):
+        self.names, self.with_dates = names, dates
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
-        """(start, end, kind) in order; overlaps go to the kind found first in the order of ``KINDS``."""
+        """(start, end, kind) in order; overlaps go to the kind found first in the order of ``KINDS``, dates coming last."""
         found: list[tuple[int, int, str]] = []
         self.emails(text, found)
         self.numbers(text, found)
@@ -151,6 +205,11 @@ class Finder:
                 self.add(found, m.start(), m.end(), "STREET_ADDRESS")
         self.german(text, found)
         self.persons(text, found)
+        if self.with_dates:
+            for pattern in _DATES:
+                for m in pattern.finditer(text):
+                    if _day(m):
+                        self.add(found, *m.span(), "DATE")
         return sorted(found)
 
     @staticmethod
@@ -168,10 +227,21 @@ class Finder:
         for sign in (" at ", " AT "):
             at = text.find(sign)
             while at > 0:
-                if (after := _DOMAIN.match(text, at + 4)) and (before := _LOCAL.search(text, max(0, at - 80), at)) and (m := _SPELT.match(text, before.start())) and m.end() >= after.end():
+                if (after := _DOMAIN.match(text, at + 4)) and (before := self.local(text, at)) and (m := _SPELT.match(text, before.start())) and m.end() >= after.end():
                     self.spelt(m, found)
                 at = text.find(sign, at + 4)
 
+    @staticmethod
+    def local(text: str, end: int) -> re.Match | None:
+        """What may stand before the sign of a spelt-out address, however long: a match near the window's start may begin before it."""
+        width = 80
+        while True:
+            start = max(0, end - width)
+            m = _LOCAL.search(text, start, end)
+            if start == 0 or (m and m.start() > start and not _JOINT.search(text, max(0, m.start() - 12), m.start())) or not (m or not re.search(r"\s", text[start:end])):
+                return m
+            width *= 4
+
     def spelt(self, m: re.Match, found: list) -> None:
         top = re.split(r"\W+", m[0])[-1].lower()
         if top in _TOP or (len(top) == 2 and top.isalpha() and not re.search(r" at [^.]*\.[a-z]{2}$", m[0])):
@@ -180,7 +250,10 @@ class Finder:
     def german(self, text: str, found: list) -> None:
         for m in _NUMBER.finditer(text):
             a = m.start()
-            word = (text[max(0, a - 40) : a].rsplit(None, 1)[-1:] or [""])[0].lstrip(">|:(\"'“„")
+            width = 40
+            while width < a and not any(map(str.isspace, text[a - width : a])):
+                width *= 4
+            word = (text[max(0, a - width) : a].rsplit(None, 1)[-1:] or [""])[0].lstrip(">|:(\"'“„")
             if not word[:1].isupper():
                 continue
             if len(m[0].strip().rstrip("abcdefghijklmnopqrstuvwxyz ")) <= 3 and (b := _BEGINS.search(text, max(0, a - 60), a)):
@@ -322,76 +395,185 @@ class Pseudonyms:
                 right = moved
         return left + right
 
+    def within(self, digits: list[int], radix: int, tweak: str, back: bool, inside) -> list[int]:
+        """As ``permute``, among the strings for which ``inside`` holds, or among the others: the network walks until it is back."""
+        if not digits:
+            return digits
+        side = inside(digits)
+        while True:
+            digits = self.permute(digits, radix, tweak, back)
+            if inside(digits) == side:
+                return digits
+
     def value(self, text: str, kind: str, back: bool = False) -> str:
-        """The value with its digits and its letters permuted, each among themselves; case, marks and length stay."""
+        """A number in its own form: digits and letters permuted, each among themselves; marks, captions and lengths stay.
+
+        Telephone: the national number, without country code and trunk zero, which stay, and apart from it the
+        extension. Nine digits in three groups are a social security number. Others have letters and digits.
+        """
         out = list(text)
-        for test, base, radix in ((lambda c: "0" <= c <= "9", "0", 10), (lambda c: "a" <= c <= "z", "a", 26), (lambda c: "A" <= c <= "Z", "A", 26)):
-            at = [i for i, c in enumerate(out) if test(text[i])]
-            if at:
-                new = self.permute([ord(text[i]) - ord(base) for i in at], radix, kind + base, back)
-                for i, d in zip(at, new):
-                    out[i] = chr(ord(base) + d)
+
+        def put(at: list[int], tweak: str, radix: int, base: str, inside) -> None:
+            new = self.within([ord(text[i]) - ord(base) for i in at], radix, tweak, back, inside)
+            for i, d in zip(at, new, strict=True):
+                out[i] = chr(ord(base) + d)
+
+        digits = [i for i, c in enumerate(text) if "0" <= c <= "9"]
+        if kind == "PHONE":
+            national, extension = phone_parts(text)
+            put(national, f"PHONE{len(national)}", 10, "0", _possible_phone)
+            put(extension, "EXTENSION", 10, "0", lambda _: True)
+            return "".join(out)
+        social = bool(_SSN.fullmatch(text))
+        put(digits, "SOCIAL" if social else kind + "0", 10, "0", _possible_social if social else lambda _: True)
+        for base, last in (("a", "z"), ("A", "Z")):
+            put([i for i, c in enumerate(text) if base <= c <= last], kind + base, 26, base, lambda _: True)
         return "".join(out)
 
-    def date(self, days: int, back: bool = False) -> int:
-        """A day number permuted within its cycle of 400 years (146,097 days): the network walks until it is inside."""
-        cycle, base = days // 146_097, days % 146_097
-        while True:
-            base = int("".join(map(str, self.permute([int(c) for c in f"{base:06d}"], 10, "date", back))))
-            if base < 146_097:
-                return cycle * 146_097 + base
+    def date(self, day: int, back: bool = False) -> int:
+        """A proleptic day number permuted: within the hundred years that two digits of a year can mean, or within its
+        cycle of 400 years and outside of these."""
+        first, last = _HUNDRED
+        near = first <= day <= last
+        start, size = (first, last - first + 1) if near else ((day - 1) // 146_097 * 146_097 + 1, 146_097)
+        bits, tweak = (size - 1).bit_length(), f"DATE{start if near else ''}"
+        code = [int(c) for c in f"{day - start:0{bits}b}"]
+
+        def inside(x: list[int]) -> bool:
+            n = int("".join(map(str, x)), 2)
+            return n < size and (near or not first <= start + n <= last)
+
+        return start + int("".join(map(str, self.within(code, 2, tweak, back, inside))), 2)
+
+    def dated(self, text: str, back: bool = False) -> str:
+        """A date in its own form, at another day; day and month keep leading zeros where they had them."""
+        m = next(m for p in _DATES if (m := p.fullmatch(text)) and _day(m))
+        new = dt.date.fromordinal(self.date(_day(m), back))
+        out = list(text)
+        values = {"y": f"{new.year:04d}"[-len(m["y"]) :], "d": f"{new.day:0{len(m['d'])}d}"}
+        if "mon" in m.groupdict():
+            values["mon"] = _MONTHS[new.month - 1] if len(m["mon"]) > 3 or m["mon"] == "May" else _MONTHS[new.month - 1][:3]
+        else:
+            values["m"] = f"{new.month:0{len(m['m'])}d}"
+        for name in sorted(values, key=lambda k: -m.start(k)):
+            out[m.start(name) : m.end(name)] = values[name]
+        return "".join(out)
 
     def placeholder(self, text: str, kind: str) -> str:
         """Typed, and the same for equal values; names and addresses are linked whatever their case and spacing."""
         if kind in ("PHONE", "ID_NUMBER"):
             return f"<{kind}:{self.value(text, kind)}>"
+        if kind == "DATE":
+            return f"<{kind}:{self.dated(text)}>"
         same = re.sub(r"\s+", " ", text).strip().casefold()
         if kind == "PERSON" and ", " in same:
             family, first = same.split(", ", 1)
             same = f"{first} {family}"
-        return f"<{kind}:{hmac.new(self.key, f'{kind}:{same}'.encode(), hashlib.sha256).hexdigest()[:10]}>"
+        return f"<{kind}:{hmac.new(self.key, f'{kind}:{same}'.encode(), hashlib.sha256).hexdigest()[:32]}>"
 
 
-def find(texts: DataFrame, key: str, names: Lexicon | None = None) -> DataFrame:
-    """(key, src_field, pii_kind, found_text): one row for each distinct value of a kind in a text.
+#: Days of the years 1970 to 2069, which two digits can mean.
+_HUNDRED = (dt.date(1970, 1, 1).toordinal(), dt.date(2069, 12, 31).toordinal())
 
-    ``texts``: key, src_field, text. Null and empty texts have none. Placeholders already set don't count.
-    """
-    spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast(names or learn_names(texts.select("text")))
 
-    def run(parts):
-        finder = Finder(sent.value)
-        for part in parts:
-            rows = []
-            for k, field, text in zip(part[key], part["src_field"], part["text"], strict=True):
-                if text:
-                    rows += [(k, field, kind, value) for kind, value in dict.fromkeys((kind, text[a:b]) for a, b, kind in finder.spans(text))]
-            yield pd.DataFrame(rows, columns=[key, "src_field", "pii_kind", "found_text"])
+def _day(m: re.Match) -> int | None:
+    """The proleptic day number of a date, None where the calendar has no such day. Numeric dates put the month first."""
+    g = m.groupdict()
+    year = int(g["y"]) if len(g["y"]) == 4 else int(g["y"]) + (1900 if int(g["y"]) >= 70 else 2000)
+    month = int(g["m"]) if g.get("m") else next(i for i, name in enumerate(_MONTHS, 1) if name.startswith(g["mon"]))
+    try:
+        return dt.date(year, month, int(g["d"])).toordinal()
+    except ValueError:
+        return None
+
 
-    return spread(texts).mapInPandas(run, f"{key} {dict(texts.dtypes)[key]}, src_field string, pii_kind string, found_text string")
+def phone_parts(text: str) -> tuple[list[int], list[int]]:
+    """Places of the national number's digits and of the extension's."""
+    end = m.start() if (m := _EXTENSION.search(text)) else len(text)
+    extension = list(range(*m.span(1))) if m else []
+    at = [i for i, c in enumerate(text[:end]) if "0" <= c <= "9"]
+    digits = "".join(text[i] for i in at)
+    if text.lstrip("(").startswith("+"):
+        at = at[next((n for n in (1, 2) if digits[:n] in _CODES), 3) :]
+    elif len(digits) == 11 and digits[0] == "1":
+        at = at[1:]
+    while len(at) > 1 and text[at[0]] == "0":
+        at = at[1:]
+    return at, extension
 
 
-def mask(texts: DataFrame, key: str, secret: bytes, names: Lexicon | None = None) -> DataFrame:
-    """(key, src_field, masked): each text with typed placeholders in place of what ``find`` finds; null stays null."""
-    spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast(names or learn_names(texts.select("text")))
+def _possible_phone(digits: list[int]) -> bool:
+    """Ten digits: area and exchange of the North American plan; other lengths: no zero in front."""
+    return digits[0] > 1 and digits[3] > 1 if len(digits) == 10 else digits[0] > 0
+
+
+def _possible_social(digits: list[int]) -> bool:
+    area = digits[0] * 100 + digits[1] * 10 + digits[2]
+    return area not in (0, 666) and area < 900 and any(digits[3:5]) and any(digits[5:])
+
+
+class Treatment:
+    """What is found in a text, each with its placeholder; placeholders met again are kept."""
+
+    def __init__(self, secret: bytes, names: Lexicon | None, dates: bool):
+        self.pseudonyms, self.finder, self.dates = Pseudonyms(secret), Finder(names, dates) if names else None, dates
+        self.known: dict[tuple[str, str], str] = {}
+
+    def spans(self, text: str, known) -> list[tuple[int, int, str, str]]:
+        """(start, end, kind, placeholder) in order."""
+        finder = self.finder or Finder(lexicon([(x["kind"], x["word"]) for x in (known if known is not None else ())]), self.dates)
+        out = []
+        for a, b, kind in finder.spans(text):
+            value = text[a:b]
+            if (kind, value) not in self.known:
+                if len(self.known) > 200_000:
+                    self.known.clear()
+                self.known[kind, value] = self.pseudonyms.placeholder(value, kind)
+            out.append((a, b, kind, self.known[kind, value]))
+        return out
+
+
+def _treated(texts: DataFrame, key: str, secret: bytes, names: Lexicon | DataFrame | None, dates: bool, each, columns: str) -> DataFrame:
+    """Runs ``each(key, src_field, text, spans)``, which gives rows, over all texts."""
+    rows, sure = _with_names(texts.select(key, "src_field", "text"), names)
+    sent = texts.sparkSession.sparkContext.broadcast(sure)
+    schema = f"{key} {dict(texts.dtypes)[key]}, src_field string, {columns}"
+    named = [c.split()[0] for c in schema.split(", ")]
 
     def run(parts):
-        finder, pseudonyms = Finder(sent.value), Pseudonyms(secret)
+        treatment = Treatment(secret, sent.value, dates)
         for part in parts:
-            out = []
-            for text in part["text"]:
-                if text:
-                    pieces, at = [], 0
-                    for a, b, kind in finder.spans(text):
-                        pieces += [text[at:a], pseudonyms.placeholder(text[a:b], kind)]
-                        at = b
-                    text = "".join([*pieces, text[at:]])
-                out.append(text)
-            yield pd.DataFrame({key: part[key], "src_field": part["src_field"], "masked": out})
+            known = part["_known"] if "_known" in part else [None] * len(part)
+            out = [row for k, field, text, words in zip(part[key], part["src_field"], part["text"], known, strict=True) for row in each(k, field, text, treatment.spans(text, words) if text else [])]
+            yield pd.DataFrame(out, columns=named)
+
+    return spread(rows).mapInPandas(run, schema)
+
+
+def find(texts: DataFrame, key: str, names: Lexicon | DataFrame | None = None, secret: bytes = TEST_KEY, dates: bool = False) -> DataFrame:
+    """(key, src_field, pii_kind, found_text, placeholder): one row for each distinct value of a kind in a text.
+
+    ``texts``: key, src_field, text. Null and empty texts have none. Placeholders already set don't count. ``names``: a
+    lexicon kept from ``learn_names``; without it it is learned first, from all texts.
+    """
+
+    def each(k, field, text, spans):
+        return [(k, field, kind, value, made) for (kind, value), made in {(kind, text[a:b]): made for a, b, kind, made in spans}.items()]
+
+    return _treated(texts, key, secret, names, dates, each, "pii_kind string, found_text string, placeholder string")
+
+
+def mask(texts: DataFrame, key: str, secret: bytes, names: Lexicon | DataFrame | None = None, dates: bool = False) -> DataFrame:
+    """(key, src_field, masked): each text with the placeholders in place of what ``find`` finds; null stays null."""
+
+    def each(k, field, text, spans):
+        pieces, at = [], 0
+        for a, b, _, made in spans:
+            pieces += [text[at:a], made]
+            at = b
+        return [(k, field, "".join([*pieces, text[at:]]) if spans else text)]
 
-    return spread(texts).mapInPandas(run, f"{key} {dict(texts.dtypes)[key]}, src_field string, masked string")
+    return _treated(texts, key, secret, names, dates, each, "masked string")
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -403,10 +585,10 @@ def _texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    """(src_field, row_key, pii_kind, found_text) of df_exploded and df_docs."""
+    """(src_field, row_key, pii_kind, found_text) of df_exploded and df_docs; dates don't count there."""
     return find(_texts(spark, folder), "row_key").select("src_field", "row_key", "pii_kind", "found_text")
 
 
 def p5_masked(spark: SparkSession, folder: str) -> DataFrame:
-    """The masked texts under a key for tests; a real run passes its own secret."""
-    return mask(_texts(spark, folder), "row_key", b"key of the registered query")
+    """The masked texts under a key for tests; what isn't one of the five kinds, dates among it, stays as it is."""
+    return mask(_texts(spark, folder), "row_key", TEST_KEY)

@@ -111,6 +111,19 @@ def test_personal(spark):
     assert masked[2] is None and masked[3] == "" and "Samir Cérombe" not in masked[1] and masked[1].startswith("From: <PERSON:")
 
 
+def test_personal_is_the_same_with_a_joined_lexicon(spark, monkeypatch):
+    names = [f"{a}{b}" for a in ("Bram", "Ost", "Vel", "Cer") for b in ("ovic", "owby", "ombe")]
+    header = "From: Samir {0} <a@b.example>\nTo: {1}, Zora <c@d.example>; Hiro {1}-{0} <e@f.example>\n\n{0}, Samir called (312) 555-0146. J. K. {1} left. Samir Bramowby stayed."
+    df = table(spark, rows_of(*[header.format(a, b) for a in names for b in names[:4] if a != b], None, "")).withColumn("src_field", F.lit("t")).select("id", "src_field", "text")
+    first = {tuple(r) for r in personal.find(df, "id").collect()}
+    masked = {tuple(r) for r in personal.mask(df, "id", personal.TEST_KEY).collect()}
+    monkeypatch.setattr(personal, "LEXICON_BYTES", -1)
+    assert {tuple(r) for r in personal.find(df, "id").collect()} == first and {tuple(r) for r in personal.mask(df, "id", personal.TEST_KEY).collect()} == masked
+    held = {r[0]: r[2] for r in masked}
+    assert sum(r[2] == "PERSON" for r in first) > 100 and all(placeholder in held[k] for k, _, _, _, placeholder in first)
+    assert personal.find(df.limit(0), "id").count() == 0
+
+
 def family(seed, n, edits, length=80):
     """Texts of one template, each with so many other words put into it, and brute force's pairs of 0.6 and more."""
     import random

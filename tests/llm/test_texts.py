@@ -214,6 +214,13 @@ def test_personal(text, found):
     assert [(k, text[a:b]) for a, b, k in personal.Finder(NAMES).spans(text)] == found
 
 
+def test_spelt_out_addresses_of_any_length_are_found():
+    finder = personal.Finder(NAMES)
+    for n in (10, 70, 100, 400):
+        for address in ("a" * n + " at papers.example", " DOT ".join(["part"] * (n // 5)) + " AT papers DOT example", ".".join(["ab"] * (n // 3)) + " at papers.example"):
+            assert [text for a, b, k in finder.spans(f"Write to: {address}, please.") for text in [f"Write to: {address}, please."[a:b]]] == [address]
+
+
 @given(st.text(alphabet="0123456789-ABCxyz ", min_size=1, max_size=24))
 def test_pseudonyms_keep_the_form_and_can_be_undone(value):
     p = personal.Pseudonyms(b"secret")
@@ -226,7 +233,45 @@ def test_permutations_are_one_to_one():
     p = personal.Pseudonyms(b"secret")
     assert len({tuple(p.permute([a, b, c], 10, "t")) for a in range(10) for b in range(10) for c in range(10)}) == 1000
     assert p.placeholder("Cérombe, Samir", "PERSON") == p.placeholder("SAMIR  CÉROMBE", "PERSON") != p.placeholder("Hiro Cérombe", "PERSON")
-    assert len({p.date(d) for d in range(700_000, 701_000)}) == 1000
+    assert len(p.placeholder("a@b.example", "EMAIL")) == len("<EMAIL:>") + 32
+
+
+def test_telephone_numbers_stay_possible_and_linked():
+    p = personal.Pseudonyms(b"secret")
+
+    def digits(text):
+        out = p.value(text, "PHONE")
+        assert p.value(out, "PHONE", back=True) == text and re.sub(r"\d", "0", out) == re.sub(r"\d", "0", text)
+        at, _ = personal.phone_parts(out)
+        return "".join(out[i] for i in at)
+
+    forms = ["(312) 555-0146", "312.555.0146", "+1 312 555 0146", "1-312-555-0146", "(312) 555-0146 ext. 65", "312-555-0146 x7"]
+    assert len({digits(f) for f in forms}) == 1 and digits(forms[0])[0] > "1" and digits(forms[0])[3] > "1"
+    assert digits("+49 30 23125 889") == digits("030/23125 889") and digits("+44 1632 960963") != digits("+44 1632 960964")
+    assert p.value("(312) 555-0146 ext. 65", "PHONE")[14:20] == " ext. " and p.value("+1 312 555 0146", "PHONE").startswith("+1 ")
+    assert len({digits(f"312 555 {n:04d}") for n in range(3000)}) == 3000
+
+
+def test_social_security_numbers_stay_possible_or_impossible():
+    p = personal.Pseudonyms(b"secret")
+    for text, possible in (("123-45-6789", True), ("666-49-9627", False), ("900 12 3456", False), ("078-05-1120", True)):
+        out = p.value(text, "ID_NUMBER")
+        assert personal._possible_social([int(c) for c in out if c.isdigit()]) is possible and p.value(out, "ID_NUMBER", back=True) == text
+    assert p.value("123-45-6789", "ID_NUMBER").replace("-", "") == p.value("123 45 6789", "ID_NUMBER").replace(" ", "")
+
+
+def test_dates_are_found_on_request_and_permuted_within_their_form():
+    import datetime as dt
+
+    p = personal.Pseudonyms(b"secret")
+    text = "Born 2004-03-12, seen 3/12/2004 and 12 March 2004, again Mar. 12, 2004; not 13/45/2004, 2004-02-30 or 312-555-0146."
+    found = [text[a:b] for a, b, k in personal.Finder(NAMES, True).spans(text) if k == "DATE"]
+    assert found == ["2004-03-12", "3/12/2004", "12 March 2004", "Mar. 12, 2004"] and "DATE" not in {k for _, _, k in personal.Finder(NAMES).spans(text)}
+    days = {personal._day(next(m for q in personal._DATES if (m := q.fullmatch(p.dated(x))))) for x in found}
+    assert len(days) == 1 and days == {p.date(dt.date(2004, 3, 12).toordinal())} and p.date(days.pop(), back=True) == dt.date(2004, 3, 12).toordinal()
+    assert re.fullmatch(r"\d{4}-\d\d-\d\d", p.dated("2004-03-12")) and re.fullmatch(r"\d{1,2}/\d{1,2}/\d\d", p.dated("3/12/04"))
+    some = range(dt.date(1890, 1, 1).toordinal(), dt.date(1892, 1, 1).toordinal())
+    assert len({p.date(d) for d in some}) == len(some) and all(p.date(p.date(d), back=True) == d for d in some)
 
 
 # ---------------------------------------------------------------- garbled
