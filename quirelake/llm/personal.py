@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirelake.llm.lookups import needed
 from quirelake.session import materialised
 from quirelake.tables import latest_rows, spread, table, text_key
 
@@ -164,15 +165,10 @@ def lexicon(words: list) -> Lexicon:
     return Lexicon(held["g"], held["f"], held["e"])
 
 
-def _asked(parts):
-    """(_n, kind, word): what a text's words could be in a lexicon."""
-    for part in parts:
-        out: set[tuple] = set()
-        for n, text in zip(part["_n"], part["text"], strict=True):
-            for w in set(_WORDS.findall(text or "")):
-                low = w.rstrip(".").lower()
-                out |= {(n, "g", low), (n, "f", low), *((n, "e", p[-4:]) for p in low.split("-") if len(p) > 4)}
-        yield pd.DataFrame(list(out), columns=["_n", "kind", "word"])
+def _asked(text: str) -> set[tuple[str, str]]:
+    """What a text's words could be in a lexicon."""
+    lows = {w.rstrip(".").lower() for w in _WORDS.findall(text)}
+    return {(kind, low) for low in lows for kind in "gf"} | {("e", p[-4:]) for low in lows for p in low.split("-") if len(p) > 4}
 
 
 def _with_names(texts: DataFrame, names: Lexicon | DataFrame | None) -> tuple[DataFrame, Lexicon | None]:
@@ -180,13 +176,8 @@ def _with_names(texts: DataFrame, names: Lexicon | DataFrame | None) -> tuple[Da
     words = learn_names(texts.select("text")) if names is None else names
     if isinstance(words, Lexicon):
         return texts, words
-    size = words.agg(F.coalesce(F.sum(F.octet_length("word") + 64), F.lit(0))).first()[0]
-    if size <= LEXICON_BYTES:
-        return texts, lexicon(words.select("kind", "word").collect())
-    texts = materialised(texts.withColumn("_n", F.monotonically_increasing_id()), "texts")
-    asked = spread(texts.select("_n", "text")).mapInPandas(_asked, "_n long, kind string, word string")
-    known = asked.join(words, ["kind", "word"]).groupBy("_n").agg(F.collect_list(F.struct("kind", "word")).alias("_known"))
-    return texts.join(known, "_n", "left").drop("_n"), None
+    texts, sent = needed(texts, words, LEXICON_BYTES, _asked)
+    return texts, None if sent is None else lexicon(sent)
 
 
 class Finder:

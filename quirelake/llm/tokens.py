@@ -3,8 +3,9 @@
 Each prefix of a pre-token has one last token, and a token may follow another only if the two, encoded together, stay
 the two. A state holds, for every place from which a vocabulary entry may still be under way, that entry's node in the
 vocabulary tree and the last token before it. States and transitions are made when first met and kept. Reading a byte
-fixes the last token of the prefix read so far; a token is certain after the longest vocabulary entry's length at most,
-and is emitted by following the last tokens back from the end of the pre-token.
+fixes the last token of the prefix read so far. Whatever comes next, the tokens go on from one of the places that the
+state holds; the tokens before the last boundary that all of these share are certain. They are emitted, and what led to
+them is forgotten, after every ``AHEAD`` bytes and at the end of a pre-token; only what lies between is kept.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pathlib import Path
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from quirelake.tables import latest_rows, spread, table
 
@@ -27,6 +28,8 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 #: Kept states and pre-tokens; beyond these a cache is emptied and filled anew, with the same results.
 MAX_STATES, MAX_WORDS = 400_000, 400_000
 START = -1
+#: Bytes read before the tokens that have become certain are emitted.
+AHEAD = 512
 
 
 class Transducer:
@@ -38,6 +41,7 @@ class Transducer:
         # Vocabulary tree: node -> {byte: node}, and the token that ends there.
         self.child: list[dict[int, int]] = [{}]
         self.ends: list[int] = [-1]
+        self.depth: list[int] = [0]
         for t, i in ranks.items():
             if len(t) > 1 and self.merged(t) != [i]:
                 continue  # no sequence of merges makes it
@@ -48,6 +52,7 @@ class Transducer:
                     nxt = self.child[node][b] = len(self.child)
                     self.child.append({})
                     self.ends.append(-1)
+                    self.depth.append(self.depth[node] + 1)
                 node = nxt
             self.ends[node] = i
         self.follows: dict[tuple[int, int], bool] = {}
@@ -99,19 +104,14 @@ class Transducer:
         return made
 
     def encode(self, text: bytes) -> list[int]:
-        if len(self.states) > MAX_STATES:
-            self.reset()
-        state, step, lasts = 0, self.step, []
-        for byte in text:
-            made = step.get(state << 8 | byte)
-            state, last = made if made is not None else self.grow(state, byte)
-            lasts.append(last)
-        out, at, size = [], len(text), self.size
-        while at > 0:
-            out.append(lasts[at - 1])
-            at -= size[lasts[at - 1]]
-        out.reverse()
-        return out
+        stream = Stream(self)
+        if len(text) <= AHEAD:
+            stream.read(text)
+            return stream.end()
+        out: list[int] = []
+        for at in range(0, len(text), AHEAD):
+            out += stream.feed(text[at : at + AHEAD])
+        return out + stream.end()
 
     def word(self, word: str) -> tuple[int, ...]:
         if len(self.words) > MAX_WORDS:
@@ -130,6 +130,57 @@ class Transducer:
         return out
 
 
+class Stream:
+    """One pre-token's bytes in, tokens out as they become certain."""
+
+    def __init__(self, machine: Transducer):
+        if len(machine.states) > MAX_STATES:
+            machine.reset()
+        self.machine, self.state = machine, 0
+        #: The last token of each prefix that ends after the last boundary emitted.
+        self.lasts: list[int] = []
+
+    def read(self, data: bytes) -> None:
+        state, machine, keep = self.state, self.machine, self.lasts.append
+        step = machine.step
+        for byte in data:
+            made = step.get(state << 8 | byte)
+            state, last = made if made is not None else machine.grow(state, byte)
+            keep(last)
+        self.state = state
+
+    def emit(self, end: int) -> list[int]:
+        """The tokens up to a boundary, by following the last tokens back from it."""
+        out, size, lasts, at = [], self.machine.size, self.lasts, end
+        while at > 0:
+            out.append(lasts[at - 1])
+            at -= size[lasts[at - 1]]
+        out.reverse()
+        del lasts[:end]
+        return out
+
+    def feed(self, data: bytes) -> list[int]:
+        self.read(data)
+        machine, size, lasts = self.machine, self.machine.size, self.lasts
+        live, n = machine.states[self.state], len(self.lasts)
+        # The places that the tokens may go on from, each led back until all meet at one boundary.
+        places = {n - machine.depth[node] for node, _ in live}
+        while len(places) > 1:
+            far = max(places)
+            places.remove(far)
+            places.add(far - size[lasts[far - 1]])
+        out = self.emit(places.pop())
+        if len(machine.states) > MAX_STATES:
+            machine.reset()
+            self.state = machine.number.setdefault(live, len(machine.states))
+            if self.state == len(machine.states):
+                machine.states.append(live)
+        return out
+
+    def end(self) -> list[int]:
+        return self.emit(len(self.lasts))
+
+
 _SPLIT = regex.compile(PATTERN).findall
 
 
@@ -190,6 +241,32 @@ def encode(df: DataFrame, key: str, text: str, path: str | None = None) -> DataF
     return spread(narrow).mapInArrow(batches, schema)
 
 
+def decode(df: DataFrame, key: str, ids: str, path: str | None = None) -> DataFrame:
+    """(key, text): the text of each row's token ids, decoded as they come; null ids give null, an empty list the empty text."""
+    path = path or f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+    narrow = df.select(key, ids)
+
+    def batches(parts):
+        machine = transducer(path)
+        for part in parts:
+            texts = []
+            for row in part.column(1).to_pylist():
+                reader = Decoder(machine)
+                texts.append(None if row is None else "".join([*(reader.feed(row[at : at + AHEAD]) for at in range(0, len(row), AHEAD)), reader.end()]))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=[key, "text"])
+
+    return spread(narrow).mapInArrow(batches, StructType([narrow.schema[key], StructField("text", StringType())]))
+
+
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return latest_rows(table(spark, folder, "documents").select("doc_id", "text", "ingested_at"), "doc_id", "ingested_at")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, ids) of each document by byte_bpe_50k."""
-    return encode(latest_rows(table(spark, folder, "documents").select("doc_id", "text", "ingested_at"), "doc_id", "ingested_at"), "doc_id", "text")
+    return encode(_documents(spark, folder), "doc_id", "text")
+
+
+def p8_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, text): each document's text after encoding and decoding, the empty text for null."""
+    return decode(p8_ids(spark, folder), "doc_id", "ids")

@@ -96,6 +96,20 @@ def test_sentences_learn_from_the_corpus(spark):
     assert sentences.sentences(df.limit(0), "id", "text").count() == 0
 
 
+def test_sentences_are_the_same_with_a_joined_model(spark, monkeypatch):
+    text = "Dr. {0} met the board, e.g. at 9 a.m. in May. The board met Dr. {0} again.The clerk left. In June (cf. fig. 3) it ended. Die Akte wurde am 3. März von Dr. {0} gelesen. \"No. 5 left. It's gone!\" The end..."
+    df = table(spark, rows_of(*[text.format(f"Ost{c}ov") for c in "abcdefghijklmnopqrst"], None, ""))
+    first = {tuple(r) for r in sentences.sentences(df, "id", "text").collect()}
+    monkeypatch.setattr(sentences, "MODEL_BYTES", -1)
+    assert {tuple(r) for r in sentences.sentences(df, "id", "text").collect()} == first and len(first) == 100
+
+
+def test_decoded_texts(spark):
+    df = table(spark, rows_of("Hello world", None, "", "漢字 é 😀 " * 900))
+    ids = tokens.encode(df, "id", "text").withColumn("ids", F.when(F.col("id") != 2, F.col("ids")))
+    assert {r.id: r.text for r in tokens.decode(ids, "id", "ids").collect()} == {1: "Hello world", 2: None, 3: "", 4: "漢字 é 😀 " * 900}
+
+
 def test_mail(spark):
     df = table(spark, rows_of("Hi\n> q\nnew", None, "", "> only"))
     assert [(r.id, r.line_no) for r in mail.authored_lines(df, "id", "text").orderBy("id", "line_no").collect()] == [(1, 1), (1, 3)]

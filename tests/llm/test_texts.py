@@ -50,6 +50,24 @@ def test_tokens_equal_the_reference_encoder():
         assert "".join(reader.feed([i]) for i in machine.ids(t)) + reader.end() == t
 
 
+def test_tokens_are_emitted_after_a_bounded_lookahead(monkeypatch):
+    machine = tokens.transducer(TOKENS)
+    rng = random.Random(8)
+    longest = max(machine.size.values())
+    for text in ("a" * 20_000, "ab" * 10_000, "the" * 9000, "".join(rng.choice("etaoinshr") for _ in range(30_000)), "é漢" * 5000, " " * 20_000):
+        data, stream, out, waiting = text.encode(), tokens.Stream(machine), [], 0
+        for at in range(0, len(data), tokens.AHEAD):
+            out += stream.feed(data[at : at + tokens.AHEAD])
+            waiting = max(waiting, len(stream.lasts))
+        assert waiting <= 2 * longest and out + stream.end() == machine.encode(data)
+        monkeypatch.setattr(tokens, "AHEAD", 10**9)
+        whole = machine.encode(data)
+        monkeypatch.setattr(tokens, "AHEAD", 7)
+        monkeypatch.setattr(tokens, "MAX_STATES", 50)
+        assert machine.encode(data) == whole == out + tokens.Stream(machine).end()
+        monkeypatch.undo()
+
+
 # ---------------------------------------------------------------- leaks
 def test_leaks_find_every_unchanged_window():
     rng = random.Random(2)
@@ -167,6 +185,16 @@ def test_sentences(text, units):
     assert [text[a:b] for a, b in got] == units
 
 
+def test_long_quotations_and_tokens_are_whole():
+    split = sentences.Splitter(MODEL).units
+    for a, b in ("“”", "«»", "()", '""'):
+        quoted = f"He read {a}{'One went. ' * 300}Two went.{b} and left."
+        assert split(quoted + " She came.") == [(0, len(quoted)), (len(quoted) + 1, len(quoted) + 10)]
+    token = "x" * 5000
+    assert sentences._token(f"a {token}", 0, 5002) == token and sentences._token("ab cd", 3, 5) == "cd" and sentences._token("ab ", 0, 3) == "ab"
+    assert split('The 5" pipe broke. The 6" pipe held.') == [(0, 18), (19, 36)]
+
+
 # ---------------------------------------------------------------- mail
 def new(text):
     return [text.split("\n")[n - 1].strip() for n in mail.new_lines(text)]
