@@ -146,11 +146,14 @@ def parse(text: str | None, date_order: str | None) -> tuple[str, object, object
     if text is None:
         return None
     t = _COMMENT.sub(" ", text).strip()
-    if not t or len(t) > 120:
+    if not t:
         return None
     if c := _COUNT.fullmatch(t):
         whole, fraction = c[1], c[2]
-        n, digits = int(whole), len(whole.lstrip("-"))
+        digits = len(whole.lstrip("-"))
+        if len(whole.lstrip("-0")) > 20:
+            return None
+        n = int(("-" if whole.startswith("-") else "") + (whole.lstrip("-0") or "0"))
         part = int(((fraction or "") + "000000")[:6]) * (-1 if whole.startswith("-") else 1)
         if fraction is None and digits >= FILETIME_DIGITS:
             us = n // 10 - FILETIME_SHIFT

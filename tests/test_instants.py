@@ -46,3 +46,9 @@ def test_round_trip_in_utc(t, form):
 @given(st.text(max_size=60))
 def test_any_text_gives_an_instant_or_none(text):
     assert isinstance(to_utc_us(text, "dmy", "Europe/Paris"), int | None)
+
+
+def test_length_decides_nothing():
+    assert to_utc_us("2004-03-10" + " " * 5000 + "16:40:30Z", "mdy", None) == to_utc_us("2004-03-10T16:40:30Z", "mdy", None) is not None
+    assert to_utc_us("Wed, 10 Mar 2004 16:40:30 +0000 (" + "comment " * 500 + ")", "mdy", None) is not None
+    assert to_utc_us("9" * 6000, "mdy", None) is None and to_utc_us("x" * 100_000, "mdy", "UTC") is None
