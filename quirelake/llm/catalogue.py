@@ -43,11 +43,11 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": " UNION ALL ".join(f"SELECT CAST(file_id AS VARCHAR) AS file_id, '{c}' AS field_name FROM {_SUMMARIES} WHERE length({c}) > 4000" for c in ("original_text", "truncated_original_text")),
         "p8_texts": f"SELECT doc_id, coalesce(text, '') AS text FROM {_DOCUMENTS}",
-        "p9_found": f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM {_DOCUMENTS}), i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM eval_items),
+        "p9_found": f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM {_DOCUMENTS}), i AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM eval_items),
 p AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS k FROM i)), q AS (SELECT doc_id, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d))
 SELECT DISTINCT doc_id, item_id FROM q JOIN p USING (g)""",
         "p4_found": " UNION ALL ".join(
-            f"""SELECT * FROM (WITH t AS (SELECT {key} AS k, regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}]+') AS w FROM {_now(name, raw, when)} WHERE {text} IS NOT NULL),
+            f"""SELECT * FROM (WITH t AS (SELECT {key} AS k, regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+') AS w FROM {_now(name, raw, when)} WHERE {text} IS NOT NULL),
 s AS (SELECT DISTINCT k, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) >= 30)), n AS (SELECT k, count(*) AS n FROM s GROUP BY k)
 SELECT '{name}' AS src_table, a.k AS key_a, b.k AS key_b FROM s a JOIN s b ON a.g = b.g AND a.k < b.k JOIN n x ON x.k = a.k JOIN n y ON y.k = b.k GROUP BY a.k, b.k, x.n, y.n HAVING count(*) >= 0.6 * (x.n + y.n - count(*)) - 1e-9)"""
             for name, raw, key, text, when in (("df_exploded", "message_id", "message_id", "email_original_message", "ingested_at"), ("final_df_summaries", "file_id", "CAST(file_id AS BIGINT)", "original_text", "time_processed"))
