@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quirelake.session import materialised
+
 # Extensions by lane.
 LANES = {
     "document": ["pdf", "doc", "docx", "rtf", "txt", "html", "htm", "md", "odt", "ppt", "pptx"], "email": ["eml", "msg", "pst", "mbox", "ost"],
@@ -32,18 +36,44 @@ def histogram(df: DataFrame, *columns: str) -> DataFrame:
     return df.dropna(subset=list(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
 
+def medians(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by, median): the exact median of a whole number in each group; null values are left out, ties of two are halved.
+
+    Values are counted, then the one of the middle rank is found 16 bits at a time: each step ranks at most 65,536
+    counts of a group, so no task ever holds a group's values. A group of only nulls has no row.
+    """
+    counts = materialised(rows.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("long").alias("_v")).agg(F.count(F.lit(1)).alias("_k")), "values")
+    sizes = counts.groupBy(*by).agg(F.sum("_k").alias("_n"))
+    middle = F.array_distinct(F.array(F.expr("(_n - 1) div 2"), F.expr("_n div 2")))
+    # The part of the value known so far, and the rank that is left within it.
+    state = sizes.select(*by, F.lit(None).cast("long").alias("_part"), F.explode(middle).alias("_rank"))
+    for bits in (48, 32, 16, 0):
+        known = F.lit(None).cast("long") if bits == 48 else F.shiftright("_v", bits + 16)
+        level = counts.groupBy(*by, known.alias("_part"), F.shiftright("_v", bits).alias("_next")).agg(F.sum("_k").alias("_k"))
+        same = reduce(lambda x, y: x & y, [F.col(f"l.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*by, "_part")])
+        within = state.alias("s").join(level.alias("l"), same).select(*[F.col(f"s.{c}").alias(c) for c in (*by, "_part", "_rank")], "l._next", "l._k")
+        up = Window.partitionBy(*by, "_part", "_rank").orderBy("_next").rowsBetween(Window.unboundedPreceding, 0)
+        reached = within.withColumn("_upto", F.sum("_k").over(up)).filter((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_k") <= F.col("_rank")))
+        state = reached.select(*by, F.col("_next").alias("_part"), (F.col("_rank") - F.col("_upto") + F.col("_k")).alias("_rank"))
+    return state.groupBy(*by).agg(F.avg("_part").alias("median"))
+
+
 def folder_profile(files: DataFrame) -> DataFrame:
-    """Files and folders for each depth, and the median of files in a folder."""
+    """Files and folders for each depth, and the exact median of files in a folder."""
     per_folder = files.groupBy("depth", "folder").agg(F.count(F.lit(1)).alias("k"))
-    return per_folder.groupBy("depth").agg(F.sum("k").alias("files"), F.count(F.lit(1)).alias("folders"), F.median("k").alias("median_files"))
+    whole = per_folder.groupBy("depth").agg(F.sum("k").alias("files"), F.count(F.lit(1)).alias("folders"))
+    middle = medians(per_folder, ["depth"], "k").select(F.col("depth").alias("_d"), F.col("median").alias("median_files"))
+    return whole.join(middle, whole.depth.eqNullSafe(F.col("_d")), "left").drop("_d")
 
 
 def size_distribution(files: DataFrame, top: int = 10) -> DataFrame:
-    """One row: sum, mean and median of sizes, and the share of the ``top`` largest. Null sizes are left out."""
+    """One row: sum, mean and exact median of sizes, and the share of the ``top`` largest. Null sizes are left out."""
     known = files.filter("size_bytes IS NOT NULL")
     largest = known.orderBy(F.desc("size_bytes")).limit(top).agg(F.sum("size_bytes").alias("largest"))
-    whole = known.agg(F.sum("size_bytes").alias("total_bytes"), F.round(F.avg("size_bytes"), 2).alias("mean_bytes"), F.median("size_bytes").alias("median_bytes"))
-    return whole.crossJoin(largest).select("total_bytes", "mean_bytes", "median_bytes", F.round(F.try_divide(F.col("largest") * 1.0, F.col("total_bytes")), 6).alias("largest_share"))
+    whole = known.agg(F.sum("size_bytes").alias("total_bytes"), F.round(F.avg("size_bytes"), 2).alias("mean_bytes"))
+    middle = medians(known.withColumn("_all", F.lit(0)), ["_all"], "size_bytes").select(F.col("median").alias("median_bytes"))
+    both = whole.crossJoin(largest).join(middle, F.lit(True), "left")
+    return both.select("total_bytes", "mean_bytes", "median_bytes", F.round(F.try_divide(F.col("largest") * 1.0, F.col("total_bytes")), 6).alias("largest_share"))
 
 
 def largest(files: DataFrame, key: str, n: int = 10) -> DataFrame:
@@ -71,13 +101,16 @@ def unknown_extensions(files: DataFrame) -> DataFrame:
 def canonical_copies(files: DataFrame, key: str, order: str) -> DataFrame:
     """(key, duplicate_of, duplicate_count): copies point to the one of least ``order``, which carries the count.
 
-    The least of each content is found by aggregation and joined back, so a content that a third of all files have is no
-    single task; a null content is nobody's copy.
+    The least of each content is found by aggregation and joined back; that join holds one row for each content, so
+    adaptive execution may split a content that a third of all files have. Files without content are not joined at all:
+    a null content is nobody's copy.
     """
     first = files.filter("content_sha256 IS NOT NULL").groupBy("content_sha256").agg(F.min(F.struct(order, key)).alias("_f"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    out = files.select(key, "content_sha256").join(first, "content_sha256", "left")
+    out = files.filter("content_sha256 IS NOT NULL").select(key, "content_sha256").join(first, "content_sha256", "left")
     own = F.col("_f")[key] == F.col(key)
-    return out.select(key, F.when(~own, F.col("_f")[key]).alias("duplicate_of"), F.when(own, F.col("_n")).alias("duplicate_count"))
+    out = out.select(key, F.when(~own, F.col("_f")[key]).alias("duplicate_of"), F.when(own, F.col("_n")).alias("duplicate_count"))
+    kind = dict(files.dtypes)[key]
+    return out.unionByName(files.filter("content_sha256 IS NULL").select(key, F.lit(None).cast(kind).alias("duplicate_of"), F.lit(None).cast("long").alias("duplicate_count")))
 
 
 def content_index(files: DataFrame, key: str) -> DataFrame:
@@ -86,11 +119,29 @@ def content_index(files: DataFrame, key: str) -> DataFrame:
     return files.filter("content_sha256 IS NOT NULL").groupBy("content_sha256").agg(F.min(seen).alias("_m"), F.count(F.lit(1)).alias("occurrence_count")).select("content_sha256", F.col("_m.accession_uid").alias("first_seen_accession_uid"), F.col("_m")[key].alias("first_seen_uid"), "occurrence_count")
 
 
-def folder_weights(files: DataFrame, key: str, score: str) -> DataFrame:
-    """Each file's score beside its folder's mean, and both mixed by halves."""
-    folders = files.groupBy("accession_uid", "folder").agg(F.round(F.avg(score), 6).alias("folder_score"), F.count(F.lit(1)).alias("folder_files"))
-    joined = files.select(key, "accession_uid", "folder", F.round(F.col(score), 6).alias("file_score")).join(folders, ["accession_uid", "folder"])
-    return joined.select(key, "file_score", "folder_score", "folder_files", F.round((F.col("file_score") + F.col("folder_score")) / 2, 5).alias("score"))
+def folder_weights(files: DataFrame, key: str, size: str) -> DataFrame:
+    """Each file's score (its size in millions of bytes, null as 0) beside its folder's mean, and both mixed by halves.
+
+    Means and mixtures are taken of whole numbers and rounded once, half up: to 6 places, the mixture to 5.
+    """
+    own = F.coalesce(F.col(size), F.lit(0)).cast("decimal(20,0)")
+    folders = files.groupBy("accession_uid", "folder").agg(F.sum(own).cast("decimal(22,0)").alias("_s"), F.count(F.lit(1)).alias("folder_files"))
+    joined = files.select(key, "accession_uid", "folder", own.alias("_b")).join(folders, ["accession_uid", "folder"]).withColumn("_n", F.col("folder_files").cast("decimal(12,0)"))
+    return joined.selectExpr(
+        key, "CAST(_b AS DOUBLE) / 1e6D AS file_score", "CAST((2 * _s + _n) div (2 * _n) AS DOUBLE) / 1e6D AS folder_score", "folder_files", "CAST((2 * (_b * _n + _s) + 20 * _n) div (40 * _n) AS DOUBLE) / 1e5D AS score"
+    )
+
+
+def folder_scores(files: DataFrame) -> DataFrame:
+    """(accession_uid, folder, files, bytes, quarter, half, three_quarters, has_readme): what a folder's files say of it.
+
+    The quartiles of sizes are approximate (1 in 10,000 ranks); a read-me is a file whose name begins so.
+    """
+    q = F.percentile_approx("size_bytes", [0.25, 0.5, 0.75], 10_000)
+    one = files.groupBy("accession_uid", "folder").agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("long").alias("bytes"), q.alias("_q"), F.bool_or(F.coalesce(F.lower("filename").startswith("readme"), F.lit(False))).alias("has_readme"),
+    )
+    return one.select("accession_uid", "folder", "files", "bytes", F.get("_q", F.lit(0)).alias("quarter"), F.get("_q", F.lit(1)).alias("half"), F.get("_q", F.lit(2)).alias("three_quarters"), "has_readme")
 
 
 def audit_sample(files: DataFrame, key: str, stratum: str, share: float = 0.05) -> DataFrame:

@@ -50,11 +50,12 @@ def _scored(queries, key: str, vector: str, metric: str, k: int | None, threshol
     return run
 
 
-def search(df: DataFrame, key: str, vector: str, queries: DataFrame, metric: str = "cosine", k: int | None = 10, threshold: float | None = None, digits: int = 5) -> DataFrame:
-    """(query_id, key, score, rank): for each query row the k nearest other rows, or all rows above a threshold.
+def search(df: DataFrame, key: str, vector: str, queries: DataFrame, metric: str = "cosine", k: int | None = 10, threshold: float | None = None, digits: int = 5, others: bool = True) -> DataFrame:
+    """(query_id, key, score, rank): for each query row the k nearest other rows; with a threshold (query_id, key, score)
+    of all rows that reach it, unranked, as a query may have any number of hits.
 
     ``metric``: "cosine" (the greater the nearer) or "l2" (squared, the smaller the nearer). Scores are rounded, ties go
-    to the lesser key. Every batch keeps its own k best for each query, so at most k rows for each query and batch are
+    to the lesser key. ``others`` leaves out a row that is the query itself (the same key). Every batch keeps its own k best for each query, so at most k rows for each query and batch are
     shuffled. Null vectors and those of another length find nothing.
     """
     if metric not in ("cosine", "l2"):
@@ -72,7 +73,9 @@ def search(df: DataFrame, key: str, vector: str, queries: DataFrame, metric: str
         sent = spark.sparkContext.broadcast((np.array([r[key] for r in rows]), matrix))
         part = df.select(key, vector).mapInPandas(_scored(sent, key, vector, metric, k, threshold), f"query_id {kind}, {key} {kind}, score double")
         out = part if out is None else out.unionByName(part)
-    out = out.filter(F.col("query_id") != F.col(key)).withColumn("score", F.round("score", digits))
+    out = (out.filter(F.col("query_id") != F.col(key)) if others else out).withColumn("score", F.round("score", digits))
+    if k is None:
+        return out
     order = F.desc("score") if metric == "cosine" else F.asc("score")
     ranked = out.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(order, key)))
-    return ranked if k is None else ranked.filter(F.col("rank") <= k)
+    return ranked.filter(F.col("rank") <= k)

@@ -6,27 +6,37 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: The column and number of parts that an ingested table is divided into by its key's hash.
+PART, PARTS = "key_part", 64
+
+
 def file_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet") -> DataFrame:
     """Parquet files as they arrive in a folder."""
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
 
 
-def ingest_available(source: DataFrame, key: str, target: str, checkpoint: str) -> None:
+def ingest_available(source: DataFrame, key: str, target: str, checkpoint: str, when: str | None = None) -> None:
     """Writes what has arrived and wasn't written before, then ends; run again to go on.
 
-    Keys repeated within a batch are written once, and keys already in the target aren't written again, so a batch that
-    is replayed after a failure adds nothing.
+    Of a key repeated within a batch the row with the latest ``when`` is written (where that is not given, the greatest
+    row), and keys already in the target aren't written again, so a batch that is replayed after a failure adds nothing.
+    The target is divided by the key's hash; a batch reads the keys of the parts that it holds keys of.
     """
-    from pyspark.errors import AnalysisException
 
     def write(batch: DataFrame, _: int) -> None:
-        rows = batch.dropDuplicates([key])
-        try:
-            known = batch.sparkSession.read.parquet(target).select(key)
-            rows = rows.join(known, key, "left_anti")
-        except AnalysisException:
-            pass
-        rows.write.mode("append").parquet(target)
+        spark = batch.sparkSession
+        columns = batch.columns
+        first = [F.col(when)] if when else []
+        newest = batch.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*first, *[F.col(c).alias(f"_{c}") for c in columns if c != key])).alias("_m"))
+        rows = newest.select(*[F.col(key) if c == key else F.col("_m")[f"_{c}"].alias(c) for c in columns]).withColumn(PART, F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int"))
+        path = spark._jvm.org.apache.hadoop.fs.Path(target)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            known = spark.read.parquet(target)
+            if key not in known.columns:
+                raise ValueError(f"{target} has no column {key}")
+            held = [r[0] for r in rows.select(PART).distinct().collect()]
+            rows = rows.join(known.filter(F.col(PART).isin(held)).select(key), key, "left_anti")
+        rows.repartition(PART).write.mode("append").partitionBy(PART).parquet(target)
 
     source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
