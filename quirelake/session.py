@@ -46,7 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or here
 
 
-def _own_folder(spark: SparkSession) -> str:
+def own_folder(spark: SparkSession) -> str:
     """This application's part of the shared folder, marked to be deleted when the driver ends."""
     context = spark.sparkContext
     own = f"{shared_folder(spark).rstrip('/')}/quirelake-{context.applicationId}"
@@ -65,7 +65,7 @@ _MARKED: set[str] = set()
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage is cut, and no executor's loss loses it."""
     spark = df.sparkSession
-    path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -73,7 +73,7 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
 def clear(spark: SparkSession) -> None:
     """Deletes what this application has written to the shared folder; frames that still read it can't be used after that."""
     context = spark.sparkContext
-    own = _own_folder(spark)
+    own = own_folder(spark)
     path = context._jvm.org.apache.hadoop.fs.Path(own)
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
     _MARKED.discard(own)

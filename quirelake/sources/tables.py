@@ -45,3 +45,38 @@ def existing(df: DataFrame, columns: list[str]) -> DataFrame:
 def without_prefix(df: DataFrame, prefix: str) -> DataFrame:
     """Without the columns of a stage."""
     return df.drop(*[c for c in df.columns if c.startswith(prefix)])
+
+
+def write_unless_empty(df: DataFrame, path: str) -> bool:
+    """Replaces a Parquet table, but only if there are rows; whether it was written."""
+    if df.isEmpty():
+        return False
+    df.write.mode("overwrite").parquet(path)
+    return True
+
+
+def read_folder_safely(spark: SparkSession, paths: list[str]) -> tuple[DataFrame | None, list[tuple[str, str]]]:
+    """Delimited files as one table with the name of each row's file, and (path, reason) of those that can't be read."""
+    frames, failed = [], []
+    for path in paths:
+        try:
+            frames.append(read_folder(spark, path))
+        except Exception as error:
+            failed.append((path, type(error).__name__))
+    return (union_wide(*frames) if frames else None), failed
+
+
+def save_vectors(df: DataFrame, key: str, vector: str, path: str) -> None:
+    """An index of vectors: unit vectors with their keys, and beside them all other columns, to be joined to hits."""
+    from quirelake.operators.vectors import unit
+
+    df.filter(F.col(vector).isNotNull()).withColumn(vector, unit(F.col(vector))).write.mode("overwrite").parquet(path)
+
+
+def load_vectors(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def write_by(df: DataFrame, path: str, *columns: str) -> None:
+    """A table divided by columns, each part replaced only where there are rows for it."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
