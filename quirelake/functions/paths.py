@@ -59,10 +59,11 @@ def folder(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
 
-def path_flags(raw: Column) -> Column:
-    """What is wrong with a raw path, in a fixed order; null for a null path."""
+def path_flags(raw: Column, data: Column | None = None) -> Column:
+    """What is wrong with a raw path, in a fixed order; null for a null path. ``data``: the path's bytes, where a source has them."""
     name = last_part(raw)
     tests = [
+        *([("non_utf8", ~F.coalesce(F.is_valid_utf8(data), F.lit(True)))] if data is not None else []),
         ("over_260", F.length(raw) > 260),
         ("trailing_space", name.rlike(r"[\s.]$")),
         ("reserved_name", F.upper(F.substring_index(name, ".", 1)).isin(RESERVED)),
@@ -108,3 +109,24 @@ def record_series(text: Column) -> Column:
 def accession_key(series: Column, received: Column, number: Column) -> Column:
     """series-yyyymmdd-nn; null if a part is."""
     return F.when(series.isNotNull() & received.isNotNull() & number.isNotNull(), F.format_string("%s-%s-%02d", series, F.date_format(received, "yyyyMMdd"), number))
+
+
+def full_path(*parts: Column) -> Column:
+    """Parts joined by slashes, without slashes in front; nulls are left out."""
+    return F.regexp_replace(F.concat_ws("/", *parts), r"^/+", "")
+
+
+def size_mb(size: Column) -> Column:
+    """Millions of bytes with two decimals, null as 0."""
+    return F.round(F.coalesce(size, F.lit(0)) / 1e6, 2)
+
+
+def structural_class(path: Column, size: Column) -> Column:
+    """zero_byte, temp, cache, lock or vcs: files that say nothing by themselves; null for all others."""
+    low, name = F.lower(F.coalesce(path, F.lit(""))), F.lower(last_part(F.coalesce(path, F.lit(""))))
+    within = F.split(F.translate(low, "\\", "/"), "/")
+    return (
+        F.when(F.coalesce(size, F.lit(0)) == 0, "zero_byte").when(name.startswith("~$") | name.endswith(".tmp") | name.endswith(".bak") | F.arrays_overlap(within, F.array(F.lit("tmp"), F.lit("temp"))), "temp")
+        .when(F.arrays_overlap(within, F.array(F.lit("cache"), F.lit("__pycache__"))) | name.isin("thumbs.db", ".ds_store"), "cache").when(name.endswith(".lock") | name.endswith(".lck"), "lock")
+        .when(F.arrays_overlap(within, F.array(F.lit(".git"), F.lit(".svn"), F.lit(".hg"))), "vcs")
+    )

@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import LDA, BisectingKMeans, KMeans
 from pyspark.ml.feature import CountVectorizer, Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirelake.functions.text import topic_words
+from quirelake.session import materialised
+
+
+def terms(text: Column, pairs: bool = False) -> Column:
+    """The topic words of a text and, with ``pairs``, every two that follow each other."""
+    if not pairs:
+        return topic_words(text)
+
+    def both(ws: Column) -> Column:
+        twos = F.when(F.size(ws) > 1, F.transform(F.sequence(F.lit(1), F.size(ws) - 1), lambda i: F.concat_ws(" ", F.get(ws, i - 1), F.get(ws, i))))
+        return F.concat(ws, F.coalesce(twos, F.array().cast("array<string>")))
 
+    return F.get(F.transform(F.array(topic_words(text)), both), F.lit(0))
 
-def term_weights(df: DataFrame, key: str, text: str, least: int = 2, most: float = 0.9) -> DataFrame:
-    """(key, term, weight): TF-IDF of single words, each text scaled to length one.
+
+def term_weights(df: DataFrame, key: str, text: str, least: int = 2, most: float = 0.9, pairs: bool = False) -> DataFrame:
+    """(key, term, weight): TF-IDF of single words and, with ``pairs``, of word pairs, each text scaled to length one.
 
     idf is ln((1 + n) / (1 + df)) + 1; terms in fewer than ``least`` texts or more than that share of all are left out.
     Texts without a word have no rows.
     """
-    words = df.select(key, F.explode(topic_words(F.col(text))).alias("term"))
+    words = df.select(key, F.explode(terms(F.col(text), pairs)).alias("term"))
     counts = words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
     n = df.agg(F.count(F.lit(1)).alias("_n"))
     spread = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
@@ -42,6 +60,89 @@ def clusters(df: DataFrame, key: str, vector: str, k: int = 6, seed: int = 42) -
     return KMeans(k=k, seed=seed, maxIter=20).fit(rows).transform(rows).select(key, F.col("prediction").alias("topic_id"))
 
 
+def elbow(df: DataFrame, key: str, vector: str, ks: Sequence[int] = range(2, 16), seed: int = 42) -> DataFrame:
+    """(k, cost): the within-cluster cost of k-means for each number of clusters, to choose one by."""
+    rows = Normalizer(inputCol="v", outputCol="features").transform(df.filter(F.col(vector).isNotNull()).select(key, array_to_vector(vector).alias("v"))).cache()
+    costs = [(k, float(KMeans(k=k, seed=seed, maxIter=20).fit(rows).summary.trainingCost)) for k in ks]
+    rows.unpersist()
+    return df.sparkSession.createDataFrame(costs, "k int, cost double")
+
+
+def with_titles(df: DataFrame, titles: DataFrame, on: Sequence[str], number: str, title: str = "title") -> DataFrame:
+    """Rows with their topics' titles, "Topic #n" where there is none; ``on`` may name several columns, as for sub-topics."""
+    return df.join(titles.select(*on, title), list(on), "left").withColumn(title, F.coalesce(title, F.concat(F.lit("Topic #"), F.col(number).cast("string"))))
+
+
+def _split(matrix: np.ndarray, k: int, rounds: int = 20) -> np.ndarray:
+    """k-means of a small table: first centres far from each other, ties to the first row, empty clusters stay empty."""
+    at = [0]
+    near = ((matrix - matrix[0]) ** 2).sum(axis=1)
+    while len(at) < k:
+        at.append(int(near.argmax()))
+        near = np.minimum(near, ((matrix - matrix[at[-1]]) ** 2).sum(axis=1))
+    centres = matrix[at].copy()
+    label = np.zeros(len(matrix), dtype=int)
+    for _ in range(rounds):
+        new = (((matrix[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)).argmin(axis=1)
+        if (new == label).all() and _:
+            break
+        label = new
+        for c in range(k):
+            if (label == c).any():
+                centres[c] = matrix[label == c].mean(axis=0)
+    return label
+
+
+def _paths(keys: list, matrix: np.ndarray, leaf: int, k: int) -> list[str]:
+    """The dotted path of each row under its part; a part that a split leaves whole is not divided further."""
+    out = [""] * len(keys)
+    work = [np.arange(len(keys))]
+    while work:
+        rows = work.pop()
+        if len(rows) <= leaf:
+            continue
+        label = _split(matrix[rows], min(k, len(rows)))
+        if len(set(label.tolist())) < 2:
+            continue
+        for new, c in enumerate(sorted(set(label.tolist()))):
+            part = rows[label == c]
+            for r in part:
+                out[r] += f".{new + 1}"
+            work.append(part)
+    return out
+
+
+def topic_tree(df: DataFrame, key: str, vector: str, leaf: int = 5, k: int = 3, within: int = 20_000, seed: int = 42) -> DataFrame:
+    """(key, topic_path): vectors divided again and again into ``k`` parts until a part has at most ``leaf`` rows.
+
+    Parts above ``within`` rows are divided by k-means over the cluster, level by level; each smaller part is divided to
+    its leaves in one task, which it fits into. Paths are dotted numbers under "1". A part that can't be divided (equal
+    vectors) stays a leaf; a part of more than ``within`` equal vectors does too.
+    """
+    rows = materialised(df.filter(F.col(vector).isNotNull()).select(key, F.col(vector).cast("array<double>").alias("v"), F.lit("1").alias("path"), F.lit(False).alias("whole")), "tree")
+    while True:
+        large = [r.path for r in rows.filter(~F.col("whole")).groupBy("path").count().filter(F.col("count") > within).select("path").collect()]
+        if not large:
+            break
+        parts = [rows.filter(~F.col("path").isin(large) | F.col("whole"))]
+        for path in large:
+            some = rows.filter((F.col("path") == path) & ~F.col("whole")).withColumn("features", array_to_vector("v"))
+            model = KMeans(k=k, seed=seed, maxIter=20).fit(some)
+            got = model.transform(some)
+            used = [r.prediction for r in got.select("prediction").distinct().collect()]
+            step = F.concat(F.col("path"), F.lit("."), (F.col("prediction") + 1).cast("string")) if len(used) > 1 else F.col("path")
+            parts.append(got.select(key, "v", step.alias("path"), F.lit(len(used) < 2).alias("whole")))
+        rows = materialised(reduce(DataFrame.unionByName, parts), "tree")
+
+    def divide(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(key, ignore_index=True)
+        below = _paths(part[key].tolist(), np.stack(part["v"].to_numpy()), leaf, k)
+        return pd.DataFrame({key: part[key], "topic_path": [p + b for p, b in zip(part["path"], below)]})
+
+    done = rows.filter("whole").select(key, F.col("path").alias("topic_path"))
+    return rows.filter("NOT whole").groupBy("path").applyInPandas(divide, f"{key} {dict(df.dtypes)[key]}, topic_path string").unionByName(done)
+
+
 def nested_clusters(df: DataFrame, key: str, vector: str, leaf: int = 500, seed: int = 42) -> DataFrame:
     """(key, topic_id): bisecting k-means, on with every part above ``leaf`` rows; it stops where a part can't be divided."""
     rows = df.filter(F.col(vector).isNotNull()).select(key, array_to_vector(vector).alias("features"))
@@ -51,10 +152,11 @@ def nested_clusters(df: DataFrame, key: str, vector: str, leaf: int = 500, seed:
     return BisectingKMeans(k=n, seed=seed, minDivisibleClusterSize=max(2.0, leaf + 1.0)).fit(rows).transform(rows).select(key, F.col("prediction").alias("topic_id"))
 
 
-def lda_topics(df: DataFrame, key: str, text: str, k: int = 5, top: int = 10, seed: int = 42, vocabulary: int = 20_000, rounds: int = 10) -> DataFrame:
-    """(topic_id, terms, n): the leading words of each topic and the texts it dominates."""
+def lda_topics(df: DataFrame, key: str, text: str, k: int = 5, top: int = 10, seed: int = 42, rounds: int = 10) -> DataFrame:
+    """(topic_id, terms, n): the leading words of each topic and the texts it dominates. All words of two texts or more count."""
     words = df.select(key, topic_words(F.col(text)).alias("words")).filter(F.size("words") > 0)
-    counter = CountVectorizer(inputCol="words", outputCol="features", minDF=2, vocabSize=vocabulary).fit(words)
+    vocabulary = words.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").count().filter("count > 1").count()
+    counter = CountVectorizer(inputCol="words", outputCol="features", minDF=2, vocabSize=max(1, vocabulary)).fit(words)
     rows = counter.transform(words).select(key, "features")
     model = LDA(k=k, seed=seed, maxIter=rounds).fit(rows)
     from pyspark.ml.functions import vector_to_array

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.functions import paths, text
-from quirelake.operators import checks, inventory, rules, threads, timestamps, topics, vectors
+from quirelake.operators import checks, inventory, matching, models, rules, threads, timestamps, topics, vectors
 from quirelake.sources import tables as sources
 from quirelake.streaming import ingest
 from quirelake.tables import latest_rows, table
@@ -127,11 +127,17 @@ def content_index(spark: SparkSession, folder: str) -> DataFrame:
     return inventory.content_index(_files(spark, folder, "content_sha256", "accession_uid"), "file_uid")
 
 
-@query(f"""WITH f AS (SELECT file_uid, accession_uid, regexp_extract(path_norm, '^(.*)/[^/]*$', 1) AS folder, round(coalesce(size_bytes, 0) / 1e6, 6) AS file_score FROM {MANIFEST}),
-g AS (SELECT accession_uid, folder, round(avg(file_score), 6) AS folder_score, count(*) AS folder_files FROM f GROUP BY ALL) SELECT file_uid, file_score, folder_score, folder_files, round((file_score + folder_score) / 2, 5) AS score FROM f JOIN g USING (accession_uid, folder)""")
+@query(f"""WITH f AS (SELECT file_uid, accession_uid, regexp_extract(path_norm, '^(.*)/[^/]*$', 1) AS folder, CAST(coalesce(size_bytes, 0) AS HUGEINT) AS b FROM {MANIFEST}), g AS (SELECT accession_uid, folder, CAST(sum(b) AS HUGEINT) AS s, count(*) AS folder_files FROM f GROUP BY ALL)
+SELECT file_uid, CAST(b AS DOUBLE) / 1e6 AS file_score, CAST((2 * s + folder_files) // (2 * folder_files) AS DOUBLE) / 1e6 AS folder_score, folder_files, CAST((2 * (b * folder_files + s) + 20 * folder_files) // (40 * folder_files) AS DOUBLE) / 1e5 AS score FROM f JOIN g USING (accession_uid, folder)""")
 def folder_weighting(spark: SparkSession, folder: str) -> DataFrame:
-    files = _files(spark, folder, "accession_uid", "path_norm", "size_bytes").select("file_uid", "accession_uid", paths.folder(F.col("path_norm")).alias("folder"), F.round(F.coalesce("size_bytes", F.lit(0)) / 1e6, 6).alias("score"))
-    return inventory.folder_weights(files, "file_uid", "score")
+    files = _files(spark, folder, "accession_uid", "path_norm", "size_bytes").select("file_uid", "accession_uid", paths.folder(F.col("path_norm")).alias("folder"), "size_bytes")
+    return inventory.folder_weights(files, "file_uid", "size_bytes")
+
+
+@query(f"""SELECT accession_uid, regexp_extract(path_norm, '^(.*)/[^/]*$', 1) AS folder, count(*) AS files, CAST(coalesce(sum(size_bytes), 0) AS BIGINT) AS bytes, bool_or(coalesce(starts_with(lower(filename), 'readme'), false)) AS has_readme FROM {MANIFEST} GROUP BY ALL""")
+def folder_overview(spark: SparkSession, folder: str) -> DataFrame:
+    files = _files(spark, folder, "accession_uid", "path_norm", "size_bytes", "filename").withColumn("folder", paths.folder(F.col("path_norm")))
+    return inventory.folder_scores(files).drop("quarter", "half", "three_quarters")
 
 
 @query(f"""WITH f AS (SELECT file_uid, coalesce(s01_status, '') AS stratum, row_number() OVER (PARTITION BY coalesce(s01_status, '') ORDER BY md5(file_uid), file_uid) AS k, count(*) OVER (PARTITION BY coalesce(s01_status, '')) AS n FROM {MANIFEST})
@@ -323,7 +329,10 @@ def central_terms(spark: SparkSession, folder: str) -> DataFrame:
     return topics.central_terms(topics.term_weights(docs, "doc_id", "text"), docs.filter("accession_uid IS NOT NULL"), "doc_id", "accession_uid")
 
 
-@query()
+@query(rf"""WITH d AS (SELECT file_id, string_split(regexp_replace(coalesce(original_text, ''), '([.!?]){_SPACE}+', '\1' || chr(1), 'g'), chr(1)) AS ss FROM {now_of('final_df_summaries')}), p AS (SELECT file_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS pos FROM d),
+w AS (SELECT *, list_distinct(list_filter(string_split(regexp_replace(regexp_replace(lower(s), '[0-9]', '', 'g'), '[^\p{{L}}_]+', ' ', 'g'), ' '), lambda x: x <> '' AND NOT list_contains({text.STOP_WORDS}, x))) AS ws FROM p WHERE trim(s) <> ''),
+f AS (SELECT file_id, pos, len(ws) AS n, unnest(ws) AS t FROM w WHERE len(ws) > 0), t AS (SELECT file_id, t, sum(1 / sqrt(n)) AS total FROM f GROUP BY ALL), r AS (SELECT file_id, pos, round(sum(total / sqrt(n)), 9) AS score FROM f JOIN t USING (file_id, t) GROUP BY ALL),
+b AS (SELECT file_id, pos FROM r QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY score DESC, pos) <= 3) SELECT file_id, string_agg(s, ' ' ORDER BY pos) AS summary FROM b JOIN p USING (file_id, pos) GROUP BY file_id""")
 def central_sentences(spark: SparkSession, folder: str) -> DataFrame:
     return topics.central_sentences(current(spark, folder, "final_df_summaries", "original_text"), "file_id", "original_text")
 
@@ -360,9 +369,13 @@ def message_headers(spark: SparkSession, folder: str) -> DataFrame:
     return mails.select("message_id", threads.headers(F.col("email_original_message")).alias("h")).select("message_id", "h.from_email", "h.sent_email", "h.to_email", "h.cc_email", "h.subject_email", "h.importance_email")
 
 
-@query(rf"""WITH l AS (SELECT email_id, unnest(regexp_split_to_array(email_text, '\r?\n')) AS line, generate_subscripts(regexp_split_to_array(email_text, '\r?\n'), 1) AS pos FROM {now_of('emails_parsed')} WHERE email_text IS NOT NULL),
-s AS (SELECT *, sum(CAST(starts_with(line, 'Subject:') AS INT)) OVER (PARTITION BY email_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS seg_no FROM l)
-SELECT email_id, CAST(seg_no AS BIGINT) AS seg_no, max(CASE WHEN starts_with(line, 'Subject:') THEN regexp_replace(substr(line, 9), '^{_SPACE}+|{_SPACE}+$', '', 'g') END) AS subject, count(*) FILTER (NOT starts_with(line, 'Subject:') AND regexp_replace(line, '^{_SPACE}+|{_SPACE}+$', '', 'g') <> '') AS lines FROM s GROUP BY ALL""")
+_TRIM = rf"'^{_SPACE}+|{_SPACE}+$', '', 'g'"
+
+
+@query(rf"""WITH l AS (SELECT email_id, regexp_replace(unnest(regexp_split_to_array(email_text, '\r?\n')), {_TRIM}) AS line, generate_subscripts(regexp_split_to_array(email_text, '\r?\n'), 1) AS pos FROM {now_of('emails_parsed')} WHERE email_text IS NOT NULL),
+s AS (SELECT *, sum(CAST(starts_with(line, 'Subject:') AS INT)) OVER (PARTITION BY email_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS seg_no, NOT (starts_with(line, 'Subject:') OR starts_with(line, 'From:') OR starts_with(line, 'To:') OR starts_with(line, 'Date:')) AS rest FROM l)
+SELECT email_id, CAST(seg_no AS BIGINT) AS seg_no, {', '.join(f"regexp_replace(substr(arg_max(line, pos) FILTER (starts_with(line, '{mark}')), {len(mark) + 1}), {_TRIM}) AS {name}" for name, mark in (("subject", "Subject:"), ("mail_from", "From:"), ("mail_to", "To:"), ("mail_date", "Date:")))},
+regexp_replace(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (rest), ''), {_TRIM}) AS body, count(*) FILTER (rest AND line <> '') AS lines FROM s GROUP BY ALL""")
 def mail_segments(spark: SparkSession, folder: str) -> DataFrame:
     return threads.segments(current(spark, folder, "emails_parsed", "email_text"), "email_id", "email_text")
 
@@ -406,10 +419,26 @@ def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.search(rows, "vec_id", "embedding", asked)
 
 
-@query(f"SELECT q.vec_id AS query_id, e.vec_id, {_COSINE} AS score, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COSINE} DESC, e.vec_id) AS INT) AS rank FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0 AND list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) >= 0.75")
+@query(f"SELECT q.vec_id AS query_id, e.vec_id, {_COSINE} AS score FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0 AND list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) >= 0.35")
 def vector_threshold(spark: SparkSession, folder: str) -> DataFrame:
     rows, asked = _asked(spark, folder)
-    return vectors.search(rows, "vec_id", "embedding", asked, threshold=0.75)
+    return vectors.search(rows, "vec_id", "embedding", asked, threshold=0.35)
+
+
+@query(f"""WITH h AS (SELECT e.vec_id, 'group ' || q.label AS label, 'word ' || q.vec_id AS keyword FROM embeddings q JOIN embeddings e ON true WHERE q.vec_id % 50 = 0 AND list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) >= 0.35),
+l AS (SELECT vec_id, label, list_sort(list(DISTINCT keyword)) AS keywords FROM h GROUP BY ALL) SELECT vec_id, string_agg(label, '; ' ORDER BY label) AS labels, array_to_string(list_sort(list_distinct(flatten(list(keywords)))), '; ') AS keywords,
+CAST(to_json(list({{'label': label, 'keywords': keywords}} ORDER BY label)) AS VARCHAR) AS detail FROM l GROUP BY vec_id""")
+def semantic_flags(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    words = rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("keyword_id"), F.concat(F.lit("group "), F.col("label").cast("string")).alias("label"), F.concat(F.lit("word "), F.col("vec_id").cast("string")).alias("keyword"), F.col("embedding").alias("vector"))
+    return matching.semantic_flags(rows, "vec_id", "embedding", words, threshold=0.35)
+
+
+@query(f"SELECT h.query_id, h.vec_id, e.label FROM (SELECT q.vec_id AS query_id, e.vec_id FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0 QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COSINE} DESC, e.vec_id) <= 3) h JOIN embeddings e USING (vec_id)")
+def hit_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Hits joined to the rows they stand for."""
+    rows, asked = _asked(spark, folder)
+    return vectors.search(rows, "vec_id", "embedding", asked, k=3).select("query_id", "vec_id").join(table(spark, folder, "embeddings").select("vec_id", "label"), "vec_id")
 
 
 _L2 = "round(list_sum(list_transform(list_zip(q.embedding, e.embedding), lambda x: pow(CAST(x[1] AS DOUBLE) - CAST(x[2] AS DOUBLE), 2))), 5)"
@@ -444,6 +473,225 @@ def event_properties(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").groupBy("event_type", F.get_json_object("props", "$.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))
 
 
+# ---------------------------------------------------------------- checks over planted faults
+#: Columns with faults planted by size, in an SQL that both sides read; ``size_bytes`` differs from file to file.
+_UID = "CASE WHEN size_bytes % 101 = 0 THEN NULL WHEN size_bytes % 103 = 0 THEN 'twice' ELSE file_uid END"
+_PLANTED = {
+    "file_uid": _UID, "accession_uid": "CASE WHEN size_bytes % 53 = 0 THEN concat('none-', size_bytes % 5) ELSE accession_uid END", "record_series": "CASE WHEN size_bytes % 31 = 0 THEN concat('ab', size_bytes % 7) ELSE '0123456' END", "path_raw": "path_raw", "path_norm": "path_norm",
+    "accession_type": "CASE WHEN size_bytes % 17 = 0 THEN 'loan' ELSE accession_type END", "source_media": "CASE WHEN size_bytes % 19 = 0 THEN 'floppy' ELSE source_media END", "s02_decision": "CASE WHEN size_bytes % 7 = 0 THEN 'maybe' ELSE 'selected' END",
+    "s05_decision": "CASE WHEN size_bytes % 13 = 0 THEN 'lost' ELSE 'priority' END", "s06_access_level": "CASE WHEN size_bytes % 23 = 0 THEN 'closed' ELSE 'open' END", "rv_role": "CASE WHEN size_bytes % 29 = 0 THEN 'guest' ELSE 'supervising' END", "s03_lane": "CASE WHEN size_bytes % 37 = 0 THEN 'paper' ELSE 'document' END",
+    "duplicate_of": f"CASE WHEN size_bytes % 41 = 0 THEN {_UID} WHEN size_bytes % 43 = 0 THEN concat('gone-', size_bytes % 9) END", "parent_uid": "CASE WHEN size_bytes % 47 = 0 THEN concat('lost-', size_bytes % 9) END", "archive_depth": "CAST(size_bytes % 6 AS INT)",
+    **{f"s0{k}_status": f"CASE WHEN size_bytes % {m} = 0 THEN 'odd' ELSE 'ok' END" for k, m in enumerate((59, 61, 67, 71, 73), 1)}, "s02_band": "CASE WHEN size_bytes % 79 = 0 THEN 'top' ELSE 'mid' END", "s05_band": "CASE WHEN size_bytes % 83 = 0 THEN 'top' ELSE 'low' END",
+    "s03_text_path": "CASE WHEN size_bytes % 5 <> 0 THEN 'a/b' END", "s03_text_len": "size_bytes % 3", "s04_summary": "CASE WHEN size_bytes % 89 <> 0 THEN 'x' END", "s05_generated_fields": "CASE WHEN size_bytes % 2 = 0 THEN 'title' ELSE '' END", "s05_generated_by": "CASE WHEN size_bytes % 3 = 0 THEN 'm' END", "source_id": "1", "odd_column": "2",
+}
+
+
+def _among(column: str, allowed) -> str:
+    return f"{column} IS NOT NULL AND {column} NOT IN ({', '.join(f"'{v}'" for v in allowed)})"
+
+
+_ROW_CHECKS = [("V02", "error", "file_uid IS NULL"), *[(name, "error", _among(c, allowed)) for c, (name, allowed) in checks.VOCABULARY.items()], ("V14", "error", "s06_access_level = 'closed'"), ("V16", "error", "duplicate_of = file_uid"), ("V18", "error", "archive_depth > 3"),
+    ("V30", "warning", "s03_status = 'ok' AND s03_text_path IS NULL AND s03_text_len > 0"), ("V31", "warning", "s04_status = 'ok' AND s04_summary IS NULL"), ("V32", "warning", "(s05_generated_fields <> '') <> (s05_generated_by IS NOT NULL)")]
+
+
+@query(f"""WITH p AS (SELECT {', '.join(f"{sql} AS {name}" for name, sql in _PLANTED.items())} FROM {MANIFEST}), one AS (SELECT {', '.join(f"count(*) FILTER ({cond}) AS {name}" for name, _, cond in _ROW_CHECKS)} FROM p)
+SELECT 'V01' AS check_id, 'error' AS severity, 0 AS n UNION ALL {' UNION ALL '.join(f"SELECT '{name}', '{severity}', {name} FROM one" for name, severity, _ in _ROW_CHECKS)}
+UNION ALL SELECT 'V03', 'error', CAST(sum(k - 1) AS BIGINT) FROM (SELECT count(*) AS k FROM p WHERE file_uid IS NOT NULL GROUP BY file_uid) UNION ALL SELECT 'V04', 'warning', count(DISTINCT record_series) FROM p WHERE NOT regexp_matches(record_series, '^[0-9]{{6,7}}$')
+UNION ALL SELECT 'V05', 'error', count(DISTINCT accession_uid) FROM p WHERE accession_uid NOT IN (SELECT accession_uid FROM accessions WHERE accession_uid IS NOT NULL) UNION ALL SELECT 'V06', 'error', count(*) FROM p JOIN accessions a USING (accession_uid) WHERE a.accession_type IS NOT NULL AND p.accession_type IS DISTINCT FROM a.accession_type
+UNION ALL SELECT 'V15', 'error', count(DISTINCT duplicate_of) FROM p WHERE duplicate_of NOT IN (SELECT file_uid FROM p WHERE file_uid IS NOT NULL) UNION ALL SELECT 'V17', 'error', count(DISTINCT parent_uid) FROM p WHERE parent_uid NOT IN (SELECT file_uid FROM p WHERE file_uid IS NOT NULL)
+UNION ALL SELECT 'V34', 'warning', 2 UNION ALL SELECT 'V35', 'warning', 1""")
+def validation_of_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Every check over the manifest with faults planted in it, so that none counts nothing."""
+    planted = current(spark, folder, "manifest", "accession_uid", "path_raw", "path_norm", "accession_type", "source_media", "size_bytes").selectExpr(*[f"{sql} AS {name}" for name, sql in _PLANTED.items()])
+    return checks.manifest_checks(planted, table(spark, folder, "accessions"), schema=[c for c in _PLANTED if c not in ("source_id", "odd_column")])
+
+
+_BAD_ACCESSIONS = {"accession_uid": "CASE WHEN length(source_label) % 9 = 0 THEN 'twice' ELSE accession_uid END", "record_series": "CASE WHEN length(source_label) % 4 = 0 THEN concat('x', length(source_label)) ELSE '012345' END", "accession_type": "CASE WHEN length(source_label) % 5 = 0 THEN 'loan' ELSE accession_type END", "profile_field": "profile_field"}
+
+
+@query(f"""WITH p AS (SELECT {', '.join(f"{sql} AS {name}" for name, sql in _BAD_ACCESSIONS.items())} FROM accessions) SELECT 'A01' AS check_id, 'error' AS severity, 0 AS n UNION ALL SELECT 'A02', 'error', CAST(coalesce(sum(k - 1), 0) AS BIGINT) FROM (SELECT count(*) AS k FROM p GROUP BY accession_uid)
+UNION ALL SELECT 'A03', 'error', count(*) FILTER (accession_type NOT IN ('personal_papers', 'administrative')) FROM p UNION ALL SELECT 'A04', 'warning', count(DISTINCT record_series) FILTER (NOT regexp_matches(record_series, '^[0-9]{{6,7}}$')) FROM p UNION ALL SELECT 'A05', 'warning', count(*) FILTER (profile_field IS NULL AND accession_type = 'personal_papers') FROM p""")
+def accession_faults(spark: SparkSession, folder: str) -> DataFrame:
+    return checks.accession_checks(table(spark, folder, "accessions").selectExpr(*[f"{sql} AS {name}" for name, sql in _BAD_ACCESSIONS.items()]))
+
+
+@query(f"""WITH o AS (SELECT file_uid, size_bytes FROM {MANIFEST} WHERE coalesce(size_bytes % 7, 0) <> 0), n AS (SELECT file_uid, CASE WHEN size_bytes % 5 = 0 THEN size_bytes + 1 ELSE size_bytes END AS size_bytes FROM {MANIFEST} WHERE coalesce(size_bytes % 11, 0) <> 0)
+SELECT coalesce(o.file_uid, n.file_uid) AS file_uid, CASE WHEN o.file_uid IS NULL THEN 'added' WHEN n.file_uid IS NULL THEN 'removed' WHEN o.size_bytes IS NOT DISTINCT FROM n.size_bytes THEN 'same' ELSE 'changed' END AS change FROM o FULL JOIN n ON o.file_uid = n.file_uid""")
+def generation_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Two generations that differ in files and sizes, derived from the manifest: all four changes occur."""
+    files = _files(spark, folder, "size_bytes").select("file_uid", "size_bytes")
+    old = files.filter("coalesce(size_bytes % 7, 0) <> 0")
+    new = files.filter("coalesce(size_bytes % 11, 0) <> 0").withColumn("size_bytes", F.expr("CASE WHEN size_bytes % 5 = 0 THEN size_bytes + 1 ELSE size_bytes END"))
+    return inventory.generation_diff(old, new, "file_uid", ["size_bytes"])
+
+
+GATED_RULES = rules.Ruleset(
+    "gated", "1",
+    (
+        ("keep", (
+            rules.Rule("drafts", "keep", when=rules.Either([rules.Match("folders", ["drafts"]), rules.Match("pattern", [r"_v[0-9]"])]), gate=rules.Match("field:profile_field", ["history", "physics", "music"])),
+            rules.Rule("figures", "keep", when=rules.Both([rules.Match("fragments", ["budget", "grants"]), rules.Match("extensions", ["xlsx", "csv", "pdf"]), rules.Not(rules.Match("fragments", ["backup"]))])),
+        )),
+    ),
+)
+
+
+@query(f"""SELECT m.file_uid, CASE WHEN (list_contains(string_split(lower(path_norm), '/'), 'drafts') OR regexp_matches(filename, '(?i)_v[0-9]')) AND coalesce(lower(a.profile_field) IN ('history', 'physics', 'music'), false) THEN 'drafts'
+WHEN (contains(lower(path_norm), 'budget') OR contains(lower(path_norm), 'grants')) AND coalesce(lower(extension) IN ('xlsx', 'csv', 'pdf'), false) AND NOT contains(lower(path_norm), 'backup') THEN 'figures' END AS rule FROM {MANIFEST} m LEFT JOIN accessions a USING (accession_uid)""")
+def gated_rules(spark: SparkSession, folder: str) -> DataFrame:
+    files = _files(spark, folder, "accession_uid", "path_norm", "filename", "extension").join(table(spark, folder, "accessions").select("accession_uid", "profile_field"), "accession_uid", "left")
+    d = rules.decide(GATED_RULES, F.col("path_norm"), F.col("filename"), F.col("extension"), fields={"profile_field": F.col("profile_field")})
+    return files.select("file_uid", d["rule_matched"].alias("rule"))
+
+
+# ---------------------------------------------------------------- selections, joins and counts
+@query(f"SELECT lower(extension) AS extension, count(*) AS n FROM {MANIFEST} WHERE extension IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 15")
+def top_extensions(spark: SparkSession, folder: str) -> DataFrame:
+    return extension_histogram(spark, folder).orderBy(F.desc("n"), "extension").limit(15)
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders WHERE year(o_orderdate) = 1996 AND month(o_orderdate) = 7")
+def orders_of_a_month(spark: SparkSession, folder: str) -> DataFrame:
+    """A year and month as a range, which reaches the scan."""
+    return table(spark, folder, "orders").filter("o_orderdate >= DATE'1996-07-01' AND o_orderdate < DATE'1996-08-01'").select("o_orderkey", "o_orderdate")
+
+
+@query(f"SELECT file_id FROM {now_of('final_df_summaries')} WHERE llama_generated_summary IS NULL AND regexp_replace(coalesce(original_text, ''), '{_SPACE}+', '', 'g') <> ''")
+def unprocessed_texts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = current(spark, folder, "final_df_summaries", "original_text", "llama_generated_summary").withColumn("processed", F.col("llama_generated_summary").isNotNull())
+    return models.unprocessed(rows, "original_text").select("file_id")
+
+
+@query("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100")
+def row_slice(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").select("o_orderkey").orderBy("o_orderkey").offset(100).limit(50)
+
+
+@query(f"WITH h AS (SELECT content_sha256 FROM {MANIFEST} WHERE content_sha256 IS NOT NULL GROUP BY 1 HAVING count(*) > 1) SELECT file_uid FROM {MANIFEST} WHERE content_sha256 IN (SELECT content_sha256 FROM h)")
+def known_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    """Files whose content is in a list of hashes: a semi join, so a hash that stands twice in the list does no harm."""
+    files = _files(spark, folder, "content_sha256")
+    listed = files.filter("content_sha256 IS NOT NULL").groupBy("content_sha256").count().filter("count > 1")
+    return files.join(listed, "content_sha256", "left_semi").select("file_uid")
+
+
+_FORMATS = {"pdf": "PDF document", "docx": "Word document", "doc": "Word document", "jpg": "JPEG image", "tif": "TIFF image", "xlsx": "Excel workbook", "eml": "Email message", "txt": "Plain text"}
+
+
+@query(f"""WITH x AS (SELECT * FROM (VALUES {', '.join(f"('{k}', '{v}')" for k, v in _FORMATS.items())}) AS x(extension, expected)) SELECT lower(m.extension) AS extension, coalesce(s01_format_name = expected, false) AS agrees, count(*) AS n FROM {MANIFEST} m LEFT JOIN x ON x.extension = lower(m.extension) WHERE m.extension IS NOT NULL GROUP BY ALL""")
+def format_agreement(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the format found upstream is the one an extension stands for."""
+    expected = spark.createDataFrame(list(_FORMATS.items()), "extension string, expected string")
+    files = _files(spark, folder, "extension", "s01_format_name").filter("extension IS NOT NULL").withColumn("extension", F.lower("extension")).join(F.broadcast(expected), "extension", "left")
+    return files.groupBy("extension", F.coalesce(F.col("s01_format_name") == F.col("expected"), F.lit(False)).alias("agrees")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH v AS (SELECT CASE WHEN event_type = 'purchase' THEN 'correct' WHEN event_type = 'click' THEN 'wrong' ELSE 'ambiguous' END AS v FROM events), c AS (SELECT x AS verdict, count(*) FILTER (v = x) AS n FROM v, (VALUES ('correct'), ('wrong'), ('ambiguous')) AS t(x) GROUP BY x)
+SELECT verdict, n, round(n * 100.0 / (SELECT sum(n) FROM c), 2) AS percent FROM c""")
+def review_rates(spark: SparkSession, folder: str) -> DataFrame:
+    verdict = F.when(F.col("event_type") == "purchase", "correct").when(F.col("event_type") == "click", "wrong").otherwise("ambiguous")
+    return matching.review_rates(table(spark, folder, "events").select(verdict.alias("v")), "v", ["correct", "wrong", "ambiguous"])
+
+
+@query(f"""SELECT placeholder, count(*) AS n, count(DISTINCT message_id) AS messages FROM (SELECT message_id, unnest(regexp_extract_all(cleaned_text, '<[A-Z_]+[0-9]*>')) AS placeholder FROM {now_of('df_exploded')}) GROUP BY 1""")
+def placeholder_counts(spark: SparkSession, folder: str) -> DataFrame:
+    marks = current(spark, folder, "df_exploded", "cleaned_text").select("message_id", F.explode(F.regexp_extract_all("cleaned_text", F.lit("<[A-Z_]+[0-9]*>"), F.lit(0))).alias("placeholder"))
+    return marks.groupBy("placeholder").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("message_id").alias("messages"))
+
+
+_ENTITY = {k: v for k, v in text.PATTERNS.items()}
+
+
+@query(f"""WITH c AS (SELECT message_id, {', '.join(f"len(regexp_extract_all(coalesce(email_original_message, ''), '{v}')) AS {k}" for k, v in sorted(_ENTITY.items()))} FROM {now_of('df_exploded')})
+SELECT message_id, '{{' || array_to_string(list_filter([{', '.join(f"CASE WHEN {k} > 0 THEN '\"{k}\":' || {k} END" for k in sorted(_ENTITY))}], lambda x: x IS NOT NULL), ',') || '}}' AS counts FROM c""")
+def entity_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return current(spark, folder, "df_exploded", "email_original_message").select("message_id", text.entity_counts(F.col("email_original_message")).alias("counts"))
+
+
+def _redacted_sql(column: str) -> str:
+    for kind, pattern in text.PATTERNS.items():
+        column = f"regexp_replace({column}, '{pattern}', '<{kind}>', 'g')"
+    return column
+
+
+@query(f"SELECT message_id, {_redacted_sql('email_original_message')} AS redacted FROM {now_of('df_exploded')}")
+def redacted_mails(spark: SparkSession, folder: str) -> DataFrame:
+    return current(spark, folder, "df_exploded", "email_original_message").select("message_id", text.redacted(F.col("email_original_message")).alias("redacted"))
+
+
+@query(f"""WITH p AS (SELECT message_id, regexp_split_to_array(email_original_message, '{text.PATTERNS['EMAIL']}') AS g, regexp_extract_all(email_original_message, '{text.PATTERNS['EMAIL']}') AS v FROM {now_of('df_exploded')} WHERE email_original_message IS NOT NULL)
+SELECT message_id, g[1] || array_to_string(list_transform(range(1, len(v) + 1), lambda i: '<EMAIL' || (len(v) - i + 1) || '>' || g[i + 1]), '') AS masked, array_to_string(list_reverse(v), ' ') AS values FROM p""")
+def numbered_mails(spark: SparkSession, folder: str) -> DataFrame:
+    """Addresses as placeholders numbered from the end of each message, and the values by number."""
+    mails = current(spark, folder, "df_exploded", "email_original_message").filter("email_original_message IS NOT NULL")
+    return mails.select("message_id", text.numbered(F.col("email_original_message"), "EMAIL").alias("n")).select("message_id", "n.masked", F.array_join("n.values", " ").alias("values"))
+
+
+@query(f"SELECT file_uid, round(coalesce(size_bytes, 0) / 1e6, 2) AS size_mb, substr(content_sha256, 1, 12) AS hash_prefix, regexp_replace(concat_ws('/', accession_uid, path_norm), '^/+', '') AS full_path FROM {MANIFEST}")
+def file_briefs(spark: SparkSession, folder: str) -> DataFrame:
+    files = _files(spark, folder, "size_bytes", "content_sha256", "accession_uid", "path_norm")
+    return files.select("file_uid", paths.size_mb(F.col("size_bytes")).alias("size_mb"), F.substring("content_sha256", 1, 12).alias("hash_prefix"), paths.full_path(F.col("accession_uid"), F.col("path_norm")).alias("full_path"))
+
+
+@query(f"""WITH f AS (SELECT size_bytes, string_split(replace(lower(path_norm), '\\', '/'), '/') AS w, lower(regexp_extract(replace(path_norm, '\\', '/'), '([^/]*)$', 1)) AS name FROM {MANIFEST}), c AS (SELECT CASE WHEN coalesce(size_bytes, 0) = 0 THEN 'zero_byte' WHEN starts_with(name, '~$') OR name LIKE '%.tmp' OR name LIKE '%.bak' OR list_has_any(w, ['tmp', 'temp']) THEN 'temp'
+WHEN list_has_any(w, ['cache', '__pycache__']) OR name IN ('thumbs.db', '.ds_store') THEN 'cache' WHEN name LIKE '%.lock' OR name LIKE '%.lck' THEN 'lock' WHEN list_has_any(w, ['.git', '.svn', '.hg']) THEN 'vcs' END AS class FROM f) SELECT class, count(*) AS n FROM c GROUP BY class""")
+def structural_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return _files(spark, folder, "path_norm", "size_bytes").groupBy(paths.structural_class(F.col("path_norm"), F.col("size_bytes")).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH t AS (SELECT file_id, unnest(list_filter(string_split(regexp_replace(regexp_replace(lower(coalesce(original_text, '')), '[0-9]', '', 'g'), '[^\\p{{L}}_]+', ' ', 'g'), ' '), lambda x: x <> '' AND NOT list_contains({text.STOP_WORDS}, x))) AS term FROM {now_of('final_df_summaries')}), c AS (SELECT file_id, term, count(*) AS n FROM t GROUP BY ALL)
+SELECT file_id, term, n, CAST(row_number() OVER (PARTITION BY file_id ORDER BY n DESC, term) AS INT) AS rank FROM c QUALIFY rank <= 5""")
+def key_terms(spark: SparkSession, folder: str) -> DataFrame:
+    return text.top_terms(current(spark, folder, "final_df_summaries", "original_text"), "file_id", "original_text", 5)
+
+
+@query(f"SELECT file_id, CASE WHEN regexp_replace(coalesce(document_text, ''), '{_SPACE}+', '', 'g') = '' THEN '' ELSE upper(left('Title: ' || left(document_text, 200), 60)) END AS answer, CASE WHEN regexp_replace(coalesce(document_text, ''), '{_SPACE}+', '', 'g') = '' THEN 'skipped' ELSE 'ok' END AS status FROM {now_of('df_docs')}")
+def stub_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """The model-call surface with a stub for a client: it answers with the beginning of the prompt in capitals."""
+
+    def make():
+        return lambda prompts: ["".join(c.upper() if len(c.upper()) == 1 else c for c in p[:60]) for p in prompts]
+
+    texts = current(spark, folder, "df_docs", "document_text")
+    asked = F.when(F.col("document_text").rlike(r"\S"), models.prompt("Title: {text}", text=F.substring("document_text", 1, 200)))
+    return models.answered(texts.select("file_id", asked.alias("prompt")), "file_id", "prompt", make)
+
+
+_REPLY = """CASE WHEN event_id % 4 = 0 THEN concat('Sure! {"offensive": true, "category": "', event_type, '", "rationale": "r', event_id, '"}') WHEN event_id % 4 = 1 THEN concat('{"offensive": false, "category": "', event_type, '", "ratiole": "q', event_id, '"}') WHEN event_id % 4 = 2 THEN concat('no idea ', event_id) END"""
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN true WHEN event_id % 4 = 1 THEN false END AS offensive, CASE WHEN event_id % 4 = 0 THEN event_type END AS category, CASE WHEN event_id % 4 = 0 THEN 'r' || event_id WHEN event_id % 4 = 1 THEN 'q' || event_id WHEN event_id % 4 = 2 THEN 'no idea ' || event_id END AS rationale FROM events""")
+def strict_replies(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "events").select("event_id", models.strict_reply(F.expr(_REPLY)).alias("r"))
+    return rows.select("event_id", "r.*")
+
+
+@query("SELECT vec_id, label, CASE WHEN label % 2 = 0 THEN 'Topic ' || label || ' titled' ELSE 'Topic #' || label END AS title FROM embeddings")
+def topic_titles(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "label")
+    titles = rows.select("label").distinct().filter("label % 2 = 0").withColumn("title", F.concat(F.lit("Topic "), F.col("label").cast("string"), F.lit(" titled")))
+    return topics.with_titles(rows, titles, ["label"], "label")
+
+
+@query()
+def topic_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaves of the recursive division and how many vectors each holds."""
+    return inventory.histogram(topics.topic_tree(table(spark, folder, "embeddings"), "vec_id", "embedding", leaf=20), "topic_path")
+
+
+@query()
+def cluster_costs(spark: SparkSession, folder: str) -> DataFrame:
+    return topics.elbow(table(spark, folder, "embeddings"), "vec_id", "embedding", range(2, 7))
+
+
+@query()
+def cluster_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents clustered by their hashed words, and the leading words and word pairs of each cluster."""
+    docs = current(spark, folder, "df_docs", "document_text")
+    labels = topics.clusters(matching.encoded(docs, "file_id", "document_text"), "file_id", "vector")
+    return topics.central_terms(topics.term_weights(docs, "file_id", "document_text", pairs=True), labels, "file_id", "topic_id")
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Files by lane and decision, duplicates aside."""
     files = inventory.routed(_files(spark, folder, "path_norm", "filename", "extension", "duplicate_of").filter("duplicate_of IS NULL"))
