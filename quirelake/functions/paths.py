@@ -55,8 +55,8 @@ def depth(path: Column) -> Column:
 
 
 def folder(path: Column) -> Column:
-    """Everything before the last slash, the empty string at the root."""
-    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+    """Everything before the last slash, the empty string at the root. No pattern: its dot would end at line separators."""
+    return F.substring(path, F.lit(1), F.greatest(F.length(path) - F.length(F.substring_index(path, "/", -1)) - 1, F.lit(0)))
 
 
 def path_flags(raw: Column, data: Column | None = None) -> Column:

@@ -645,12 +645,12 @@ def key_terms(spark: SparkSession, folder: str) -> DataFrame:
     return text.top_terms(current(spark, folder, "final_df_summaries", "original_text"), "file_id", "original_text", 5)
 
 
-@query(f"SELECT file_id, CASE WHEN regexp_replace(coalesce(document_text, ''), '{_SPACE}+', '', 'g') = '' THEN '' ELSE upper(left('Title: ' || left(document_text, 200), 60)) END AS answer, CASE WHEN regexp_replace(coalesce(document_text, ''), '{_SPACE}+', '', 'g') = '' THEN 'skipped' ELSE 'ok' END AS status FROM {now_of('df_docs')}")
+@query(f"SELECT file_id, CASE WHEN regexp_replace(coalesce(document_text, ''), '{_SPACE}+', '', 'g') = '' THEN '' ELSE replace(left('Title: ' || left(document_text, 200), 60), ' ', '_') END AS answer, CASE WHEN regexp_replace(coalesce(document_text, ''), '{_SPACE}+', '', 'g') = '' THEN 'skipped' ELSE 'ok' END AS status FROM {now_of('df_docs')}")
 def stub_answers(spark: SparkSession, folder: str) -> DataFrame:
-    """The model-call surface with a stub for a client: it answers with the beginning of the prompt in capitals."""
+    """The model-call surface with a stub for a client: it answers with the beginning of the prompt, blanks underlined."""
 
     def make():
-        return lambda prompts: ["".join(c.upper() if len(c.upper()) == 1 else c for c in p[:60]) for p in prompts]
+        return lambda prompts: [p[:60].replace(" ", "_") for p in prompts]
 
     texts = current(spark, folder, "df_docs", "document_text")
     asked = F.when(F.col("document_text").rlike(r"\S"), models.prompt("Title: {text}", text=F.substring("document_text", 1, 200)))

@@ -152,6 +152,7 @@ def test_text_functions(spark):
     assert one(text.partial_ratio(a, F.col("b")), "Ann Smith", "dr. ANN SMITH jr") == 100.0 and one(text.partial_ratio(a, F.col("b")), "abc", "xyz") == 0.0 and one(text.partial_ratio(a, F.col("b")), None, "x") is None and one(text.partial_ratio(a, F.col("b")), "", "x") == 0.0
     assert one(text.plain_ascii(a), "ﬁne Page 2 of 9 ★ end") == "fine end"
     assert one(paths.full_path(a, F.col("b")), "/x", "y/z") == "x/y/z" and one(paths.structural_class(a, F.lit(0)), "a") == "zero_byte" and one(paths.structural_class(a, F.lit(1)), "a\\.git\\b") == "vcs" and one(paths.structural_class(a, F.lit(1)), "a/b.LOCK") == "lock" and one(paths.structural_class(a, F.lit(1)), "a/b") is None
+    assert [one(paths.folder(a), x) for x in ("a/b\u0085\n/c", "c", "/c", "", "a/")] == ["a/b\u0085\n", "", "", "", "a"] and one(paths.folder(a), None) is None
     assert one(paths.joined_path(F.split(a, ","), "All"), "All,a,b") == "a/b" and one(text.peek(a), "short") == "short" and len(one(text.peek(a), "x" * 9000)) == 2048 + 3 * 500 + 1024 + 4 and one(text.combined(a, F.col("b")), " x ", " ") == "x"
     flags = spark.createDataFrame([("a.txt", bytearray(b"a\xff")), ("a.txt", bytearray(b"a"))], "a string, d binary").select(paths.path_flags(F.col("a"), F.col("d")).alias("f")).collect()
     assert [r.f for r in flags] == [["non_utf8"], []]
