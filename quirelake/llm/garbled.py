@@ -126,6 +126,13 @@ def _pairs(text: str) -> list[tuple[str, str]]:
     return [(a, b) for a, b in zip(t, t[1:]) if a > "\x7f" or b > "\x7f"]
 
 
+@lru_cache(maxsize=20_000)
+def _prepared(unit: str) -> tuple[list[tuple[int, str]], list[list[tuple[tuple[str, str], int]]]]:
+    """The candidates of a unit and the counted pairs of each; kept, as every round asks for them again."""
+    some = candidates(unit)
+    return some, [list(Counter(_pairs(t)).items()) for _, t in some]
+
+
 def _whole(unit: str) -> int:
     return xxhash.xxh32_intdigest(unit.encode("utf-8", "surrogatepass")) % UNITS
 
@@ -165,10 +172,10 @@ class Model:
             out += got
         return out
 
-    def fit_without(self, text: str, n: float) -> float:
-        """As ``fit``, without what ``n`` occurrences of the text itself add to the counts."""
+    def fit_without(self, text: str, pairs: list[tuple[tuple[str, str], int]], n: float) -> float:
+        """As ``fit``, given the text's counted pairs, without what ``n`` occurrences of the text itself add to the counts."""
         out = self.known(text, n)
-        for pair, k in Counter(_pairs(text)).items():
+        for pair, k in pairs:
             got = self.counts.get(pair)
             if got is None:
                 if len(self.counts) > 500_000:
@@ -225,7 +232,19 @@ def _expected(model, first: bool):
         types: set[tuple] = set()
         held: dict[str, tuple] = {}
 
+        def settle() -> None:
+            """Adds what the units were found to be worth; sums are the same whenever that is done."""
+            for some, made, _, _, weights in held.values():
+                for (_, text), pairs_, w in zip(some, made, weights):
+                    if w:
+                        if len(text) >= LEAST_LENGTH:
+                            whole[_whole(text)] += w
+                        for pair, k in pairs_:
+                            pairs[pair] += w * k
+            held.clear()
+
         def rows():
+            settle()
             hashed: dict[tuple, float] = defaultdict(float)
             for (a, b), v in pairs.items():
                 hashed["p", _bucket(a, b)] += v
@@ -243,10 +262,10 @@ def _expected(model, first: bool):
                 got = held.get(unit)
                 if got is None:
                     if len(held) > 50_000:
-                        held.clear()
-                    some = candidates(unit)
-                    got = held[unit] = (some, [_pairs(t) for _, t in some], {}, {})
-                some, made, fitted, alike = got
+                        settle()
+                    some, made = _prepared(unit)
+                    got = held[unit] = (some, made, {}, {}, [0.0] * len(some))
+                some, made, fitted, alike, weights = got
                 if len(some) == 1:
                     p = [1.0]
                 elif first:
@@ -258,16 +277,13 @@ def _expected(model, first: bool):
                 else:
                     # What a unit itself added to the counts doesn't speak for it.
                     if total not in fitted:
-                        fitted[total] = [m.fit_without(t, OWN * total) for _, t in some]
+                        fitted[total] = [m.fit_without(t, ps, OWN * total) for (_, t), ps in zip(some, made)]
                     p = m.posterior(some, fitted[total], m.prior(field, source, own))
                 for i, x in enumerate(p):
                     if x > 1e-4:
                         chain, text = some[i]
                         chains[field, source, chain] += n * x
-                        if len(text) >= LEAST_LENGTH:
-                            whole[_whole(text)] += n * x
-                        for pair in made[i]:
-                            pairs[pair] += n * x
+                        weights[i] += n * x
                         if chain and x > 0.5:
                             speaks = xxhash.xxh3_64_intdigest(f"{source}\x00{unit}".encode("utf-8", "surrogatepass")) >> 1
                             # Every chain of the same length and true encoding that explains the unit alike has its support.
