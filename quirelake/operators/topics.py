@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirelake.functions.text import topic_words
+from quirelake.functions.text import clipped, sentence_count, topic_words, word_count
 from quirelake.session import materialised
 
 
@@ -36,14 +36,15 @@ def term_weights(df: DataFrame, key: str, text: str, least: int = 2, most: float
     Texts without a word have no rows.
     """
     words = df.select(key, F.explode(terms(F.col(text), pairs)).alias("term"))
-    counts = words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
+    counts = materialised(words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf")), "terms")
     n = df.agg(F.count(F.lit(1)).alias("_n"))
     spread = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     kept = spread.crossJoin(F.broadcast(n)).filter((F.col("_df") >= least) & (F.col("_df") <= most * F.col("_n")))
     kept = kept.select("term", (F.log((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("_df"))) + 1).alias("_idf"))
     raw = counts.join(kept, "term").select(key, "term", (F.col("_tf") * F.col("_idf")).alias("_w"))
-    length = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_l"))
-    return raw.join(length, key).select(key, "term", (F.col("_w") / F.col("_l")).alias("weight"))
+    # A text's terms are no more than its words, so they fit into one row, and its length needs no second pass.
+    whole = raw.groupBy(key).agg(F.collect_list(F.struct("term", "_w")).alias("_ts"), F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_l"))
+    return whole.select(key, "_l", F.explode("_ts").alias("_t")).select(key, "_t.term", (F.col("_t._w") / F.col("_l")).alias("weight"))
 
 
 def central_terms(weights: DataFrame, groups: DataFrame, key: str, group: str, top: int = 10) -> DataFrame:
@@ -187,3 +188,12 @@ def central_sentences(df: DataFrame, key: str, text: str, top: int = 3) -> DataF
     scored = flat.join(total, [key, "_w"]).groupBy(key, "_pos").agg(F.round(F.sum(F.col("_t") / F.sqrt("_len")), 9).alias("_score"))
     best = scored.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("_score"), "_pos"))).filter(F.col("_r") <= top)
     return best.join(parts, [key, "_pos"]).groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_sentence"))), lambda x: x["_sentence"]), " ").alias("summary"))
+
+
+def condensed(df: DataFrame, key: str, text: str, sentences: int = 250, words: int = 5000, top: int = 3) -> DataFrame:
+    """(key, summary): texts of more sentences or words than given as their most central sentences, others collapsed; both
+    clipped to ``words`` words. Null texts give the empty string."""
+    c = F.col(text)
+    rows = df.select(key, ((sentence_count(c) > sentences) | (word_count(c) > words)).alias("_long"), clipped(c, words).alias("_short"))
+    central = central_sentences(df.filter((sentence_count(c) > sentences) | (word_count(c) > words)), key, text, top)
+    return rows.join(central, key, "left").select(key, F.when(F.col("_long"), clipped(F.col("summary"), words)).otherwise(F.col("_short")).alias("summary"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quirelake.functions import paths, text
 from quirelake.operators import checks, inventory, matching, models, rules, threads, timestamps, topics, vectors
+from quirelake.sources import files as source_files
 from quirelake.sources import tables as sources
 from quirelake.streaming import ingest
 from quirelake.tables import latest_rows, table
@@ -692,6 +693,40 @@ def cluster_terms(spark: SparkSession, folder: str) -> DataFrame:
     return topics.central_terms(topics.term_weights(docs, "file_id", "document_text", pairs=True), labels, "file_id", "topic_id")
 
 
+@query(rf"""WITH d AS (SELECT file_id, list_filter(list_transform(regexp_split_to_array(original_text, '\r?\n[ \t]*\r?\n'), lambda x: regexp_replace(x, {_TRIM})), lambda x: x <> '') AS ps FROM {now_of('final_df_summaries')} WHERE original_text IS NOT NULL)
+SELECT file_id, unnest(ps) AS paragraph, CAST(generate_subscripts(ps, 1) AS INT) AS paragraph_no FROM d""")
+def paragraph_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return source_files.paragraphs(current(spark, folder, "final_df_summaries", "original_text"), "file_id", "original_text")
+
+
+@query()
+def condensed_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return topics.condensed(current(spark, folder, "final_df_summaries", "original_text"), "file_id", "original_text", 20, 400)
+
+
+@query()
+def partial_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Senders that a name fits at 80 of 100 or better, however they are written; each spelling is compared once."""
+    senders = current(spark, folder, "df_exploded", "from_email").filter("from_email IS NOT NULL").groupBy("from_email").agg(F.count(F.lit(1)).alias("n"))
+    most = senders.agg(F.min_by("from_email", F.struct(-F.col("n"), "from_email")).alias("_name"))
+    ratio = text.partial_ratio(F.col("from_email"), F.regexp_extract("_name", r"[^<]+", 0))
+    return senders.crossJoin(F.broadcast(most)).select("from_email", "n", ratio.alias("ratio")).filter("ratio >= 80")
+
+
+@query("SELECT o_custkey, strftime(date_trunc('month', o_orderdate), '%Y-%m') AS month, count(*) AS n FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL")
+def monthly_volume_per_person(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "orders").filter("o_orderdate IS NOT NULL")
+    return rows.groupBy("o_custkey", F.date_format(F.date_trunc("month", "o_orderdate"), "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def leaf_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents divided again and again, and the leading words of each leaf."""
+    docs = current(spark, folder, "df_docs", "document_text")
+    leaves = topics.topic_tree(matching.encoded(docs, "file_id", "document_text"), "file_id", "vector", leaf=50)
+    return topics.central_terms(topics.term_weights(docs, "file_id", "document_text"), leaves, "file_id", "topic_path")
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Files by lane and decision, duplicates aside."""
     files = inventory.routed(_files(spark, folder, "path_norm", "filename", "extension", "duplicate_of").filter("duplicate_of IS NULL"))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.functions.paths import extension, last_part, stem, trimmed
-from quirelake.sources import office
+from quirelake.sources import office, pdf
 
 
 def scan(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -127,9 +127,9 @@ def rtf_text(data: bytes) -> str:
     return re.sub(r"\\[a-zA-Z]+-?\d* ?|[{}]", "", text).strip()
 
 
-#: Readers by extension; pass others, such as for PDF, beside these.
+#: Readers by extension; pass others beside or instead of these.
 READERS: dict[str, Callable[[bytes], str]] = {
-    "eml": mail_text, "html": html_text, "htm": html_text, "docx": office.docx_text, "pptx": office.pptx_text, "rtf": rtf_text, "txt": lambda data: data.decode("utf-8", "ignore"),
+    "eml": mail_text, "html": html_text, "htm": html_text, "docx": office.docx_text, "pptx": office.pptx_text, "pdf": pdf.pdf_text, "rtf": rtf_text, "txt": lambda data: data.decode("utf-8", "ignore"),
 }
 
 

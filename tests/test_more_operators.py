@@ -170,3 +170,9 @@ def test_ingestion_keeps_the_latest_row_and_says_what_is_wrong(spark, tmp_path):
     spark.range(3).withColumnRenamed("id", "other").write.parquet(f"{tmp_path}/bad")
     with pytest.raises(Exception, match="no column k"):
         ingest.ingest_available(ingest.file_stream(spark, f"{tmp_path}/in", "k long, w long, v string"), "k", f"{tmp_path}/bad", f"{tmp_path}/cp2")
+
+
+def test_condensed_texts(spark):
+    rows = [(1, "Red apple here. Red apple there. Blue car. " * 3), (2, "One  two."), (3, None)]
+    got = {r.k: r.summary for r in topics.condensed(spark.createDataFrame(rows, "k long, t string"), "k", "t", 5, 6, 2).collect()}
+    assert got == {1: "Red apple here. Red apple there.", 2: "One two.", 3: ""}

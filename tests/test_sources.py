@@ -47,6 +47,29 @@ def test_workbook_headers(spark):
     assert [(s.sheet, s.headers) for s in got["a"].sheets] == [("One", ["Name", "Box", "7"]), ("Two", ["Name"])] and got["a"].headers == ["Name", "Box", "7"] and got["b"].status.startswith("failed")
 
 
+def pdf(packed):
+    import zlib
+
+    def stream(body, head=b""):
+        if packed:
+            body, head = zlib.compress(body), head + b"/Filter /FlateDecode"
+        return b"<< /Length %d %s >>\nstream\n%s\nendstream" % (len(body), head, body)
+
+    cmap = b"1 beginbfchar <0001> <00C9> endbfchar 1 beginbfrange <0002> <0004> <0061> endbfrange"
+    parts = [
+        b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Kids [4 0 R 3 0 R] /Count 2 >>", b"<< /Type /Page /Contents 5 0 R /Resources << /Font << /F1 7 0 R >> >> >>", b"<< /Type /Page /Contents [6 0 R] /Resources << /Font << /F2 8 0 R >> >> >>",
+        stream(b"BT /F1 12 Tf 0 -14 Td (Second \\(page\\)) Tj T* [(Wo) -20 (rd) -300 (\\351t\\351)] TJ ET"), stream(b"BT /F2 9 Tf <000100020003> Tj ET"), b"<< /Type /Font >>", b"<< /Type /Font /ToUnicode 9 0 R >>", stream(cmap),
+    ]
+    return b"%PDF-1.4\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % (n, p) for n, p in enumerate(parts, 1)) + b"trailer << /Root 1 0 R >>\n%%EOF"
+
+
+def test_portable_documents():
+    from quirelake.sources.pdf import pdf_text
+
+    assert pdf_text(pdf(False)) == pdf_text(pdf(True)) == "Éab\nSecond (page)\nWord été"
+    assert pdf_text(b"") == pdf_text(b"%PDF-1.4 broken") == "" and files.READERS["pdf"](pdf(True)).startswith("Éab")
+
+
 def test_rich_text(spark):
     assert files.rtf_text(rb"{\rtf1\ansi\ansicpg1251{\fonttbl x}\'cf\'f0 \u-10179?\u-8704?\u233?\par b\tab c}") == "Пр 😀é\nb\tc"
     assert files.rtf_text(rb"{\rtf1 \u-10179? lone}") == "� lone" and files.rtf_text(rb"{\rtf1\ansicpg99999 \'e9}") == "é"
