@@ -96,6 +96,14 @@ def test_sentences_learn_from_the_corpus(spark):
     assert sentences.sentences(df.limit(0), "id", "text").count() == 0
 
 
+def test_sentences_learn_from_texts_without_full_stops(spark):
+    told = [f"He saw the cat. Velt{c}ic left it." for c in "abc"]
+    few = sentences.sentences(table(spark, rows_of(*told)), "id", "text")
+    got = sentences.sentences(table(spark, rows_of(*told, *["- the cat sat here"] * 40)), "id", "text")
+    assert [r.id for r in few.orderBy("id").collect()] == [1, 2, 3]
+    assert [r.id for r in got.filter("id < 4").orderBy("id").collect()] == [1, 1, 2, 2, 3, 3]
+
+
 def test_sentences_are_the_same_with_a_joined_model(spark, monkeypatch):
     text = "Dr. {0} met the board, e.g. at 9 a.m. in May. The board met Dr. {0} again.The clerk left. In June (cf. fig. 3) it ended. Die Akte wurde am 3. März von Dr. {0} gelesen. \"No. 5 left. It's gone!\" The end..."
     df = table(spark, rows_of(*[text.format(f"Ost{c}ov") for c in "abcdefghijklmnopqrst"], None, ""))

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -196,6 +197,23 @@ def test_long_quotations_and_tokens_are_whole():
     assert split('The 5" pipe broke. The 6" pipe held.') == [(0, 18), (19, 36)]
 
 
+def test_every_word_and_full_stop_is_counted(monkeypatch):
+    texts = ["He left.”) Then it ended", "no stop here", "档案馆。 移交", "क्रम समाप्त।", None, "", " "]
+
+    def counts(size):
+        out = Counter()
+        for part in sentences._counted(pd.DataFrame({"text": texts[i : i + size]}) for i in range(0, len(texts), size)):
+            for *k, n in part.itertuples(index=False):
+                out[tuple(k)] += n
+        return out
+
+    whole = counts(len(texts))
+    assert sum(n for (_, kind, _, _), n in whole.items() if kind == "w") == 12
+    assert sum(n for (_, kind, _, _), n in whole.items() if kind in "ns") == 12 and whole["en", "p", "left", "Then"] == 1
+    monkeypatch.setattr(sentences, "HELD_CHARACTERS", 0)
+    assert counts(1) == whole
+
+
 # ---------------------------------------------------------------- mail
 def new(text):
     return [text.split("\n")[n - 1].strip() for n in mail.new_lines(text)]
